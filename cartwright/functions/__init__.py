@@ -1,6 +1,7 @@
 from cartwright.functions.dates import (
     interval_days,
     interval_micros,
+    moment,
     month_distance,
     month_start,
     whole_days,
@@ -15,6 +16,7 @@ __all__ = [
     "interval_days",
     "interval_micros",
     "join_text",
+    "moment",
     "money",
     "month_distance",
     "month_start",

@@ -6,12 +6,20 @@ day-time intervals, never through a cast that depends on the session zone.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MICROS_PER_DAY = 86_400_000_000
 
 
+def moment(value: datetime.datetime, kind: T.DataType) -> Column:
+    """Literal instant of a timestamp type, read in the session time zone."""
+    return F.lit(value.isoformat(sep=" ")).cast(kind)
+
+
 def month_start(ts: Column) -> Column:
     return F.trunc(ts, "MM")
 

@@ -1,0 +1,59 @@
+"""Substring search through an inverted table of three-letter pieces."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cartwright.plans.products import catalog_search
+
+PIECE = 3
+
+
+def _pieces(text: Column) -> Column:
+    """Distinct three-letter pieces of the lower-cased text; none for shorter text."""
+    low = F.lower(text)
+    starts = F.sequence(F.lit(1), F.greatest(F.length(low) - (PIECE - 1), F.lit(1)))
+    pieces = F.transform(starts, lambda i: F.substring(low, i, PIECE))
+    return F.array_distinct(F.filter(pieces, lambda p: F.length(p) == PIECE))
+
+
+def trigram_index(products: DataFrame) -> DataFrame:
+    """(trigram, product_id) rows, one per distinct piece of a name."""
+    return products.select(
+        F.explode(_pieces(F.col("product_name"))).alias("trigram"), "product_id"
+    )
+
+
+def write_trigram_index(products: DataFrame, path: str) -> None:
+    """Store the index sorted by piece, so that a search skips most row groups.
+
+    The product id takes part in the range split: a piece that very many names
+    share covers several files.
+    """
+    (
+        trigram_index(products)
+        .repartitionByRange("trigram", "product_id")
+        .sortWithinPartitions("trigram", "product_id")
+        .write.parquet(path)
+    )
+
+
+def trigram_search(products: DataFrame, index: DataFrame, needle: str) -> DataFrame:
+    """Same rows as ``catalog_search``, read through the index.
+
+    A product qualifies when it has every piece of the needle; the substring
+    test then decides. Needles without a piece fall back to the plain search.
+    """
+    low = needle.lower()
+    wanted = sorted({low[i : i + PIECE] for i in range(len(low) - PIECE + 1)})
+    if not wanted:
+        return catalog_search(products, needle)
+    candidates = (
+        index.filter(F.col("trigram").isin(wanted))
+        .groupBy("product_id")
+        .agg(F.count("*").alias("__pieces"))
+        .filter(F.col("__pieces") == len(wanted))
+        .select("product_id")
+    )
+    return catalog_search(products.join(candidates, "product_id", "left_semi"), needle)

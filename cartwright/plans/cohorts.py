@@ -18,7 +18,7 @@ def cohort_retention_long(orders: DataFrame) -> DataFrame:
     every customer is active in the first month.
     """
     months = (
-        orders.filter(not_cancelled())
+        orders.filter(not_cancelled() & F.col("customer_id").isNotNull())
         .select("customer_id", month_start(F.col("order_date")).alias("order_month"))
         .distinct()
     )

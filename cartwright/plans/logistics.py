@@ -7,8 +7,9 @@ import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import interval_days, pct
+from cartwright.functions import interval_micros, moment, pct
 from cartwright.functions import labels as L
+from cartwright.functions.dates import MICROS_PER_DAY
 from cartwright.operators.percentiles import distributed_percentiles, percentile_columns
 from cartwright.runtime import use_single_task
 
@@ -16,9 +17,10 @@ _PERCENTILES = {"median_delivery_days": 0.50, "p90_delivery_days": 0.90}
 
 
 def _deliveries(orders: DataFrame) -> DataFrame:
+    micros = interval_micros(F.col("order_date"), F.col("delivery_date"))
     return orders.filter(
         (F.col("order_status") == "delivered") & F.col("delivery_date").isNotNull()
-    ).withColumn("transit_days", interval_days(F.col("order_date"), F.col("delivery_date")))
+    ).withColumns({"transit_micros": micros, "transit_days": micros / float(MICROS_PER_DAY)})
 
 
 def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: bool) -> DataFrame:
@@ -30,7 +32,7 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
     """
     sums = [
         F.count("order_id").alias("total_deliveries"),
-        F.avg("transit_days").alias("avg_delivery_days"),
+        F.sum(F.col("transit_micros").cast("decimal(20,0)")).alias("__micros"),
         F.min("transit_days").alias("fastest_delivery_days"),
         F.max("transit_days").alias("slowest_delivery_days"),
         F.count_if(F.col("transit_days") <= sla_days).alias("__on_time"),
@@ -49,7 +51,9 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
     return stats.select(
         group,
         "total_deliveries",
-        F.round("avg_delivery_days", 2).alias("avg_delivery_days"),
+        F.round(
+            F.col("__micros").cast("double") / F.col("total_deliveries") / float(MICROS_PER_DAY), 2
+        ).alias("avg_delivery_days"),
         F.round("fastest_delivery_days", 1).alias("fastest_delivery_days"),
         F.round("slowest_delivery_days", 1).alias("slowest_delivery_days"),
         F.round("median_delivery_days", 2).alias("median_delivery_days"),
@@ -114,9 +118,9 @@ def customer_timeline(
     orders: DataFrame, customer_id: int, since: datetime.datetime
 ) -> DataFrame:
     """One customer's orders since a date, newest first."""
-    moment = F.lit(since).cast(orders.schema["order_date"].dataType)
+    start = moment(since, orders.schema["order_date"].dataType)
     return (
-        orders.filter((F.col("customer_id") == customer_id) & (F.col("order_date") >= moment))
+        orders.filter((F.col("customer_id") == customer_id) & (F.col("order_date") >= start))
         .select("order_id", "customer_id", "order_date", "total_amount", "order_status")
         .orderBy(F.col("order_date").desc_nulls_first(), "order_id")
     )

@@ -13,6 +13,12 @@ from pyspark.sql import functions as F
 # fixed values: product types of the test data, in category-id order from 1
 CATEGORY_NAMES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+# Arrival order of lines: the test data has no line id, so all columns decide
+# and rows that tie on all of them are interchangeable.
+LINE_ARRIVAL = (
+    "created_at", "order_id", "line_number", "quantity", "unit_price", "item_discount",
+)
+
 _STATUS = """CASE
     WHEN o_orderkey % 20 = 0 THEN 'cancelled'
     WHEN o_orderkey % 20 = 1 THEN 'returned'
