@@ -1,7 +1,14 @@
-"""Ratios. Sums stay exact decimals; the one division is done in double."""
+"""Ratios. Sums stay exact decimals; the one division is done in double.
+
+Before the division both sides are scaled by 10,000, which turns amounts with up
+to four decimals into whole numbers. Those are exact as doubles, so the quotient
+is rounded once and a tie such as 46.875 stays a tie.
+"""
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,12 +17,14 @@ from cartwright.functions.labels import CANCELLED
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """``numerator / denominator`` as double; NULL for a zero denominator."""
-    return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
+    scale = F.lit(Decimal(10_000))
+    whole = (denominator * scale).cast("double")
+    return (numerator * scale).cast("double") / F.nullif(whole, F.lit(0.0))
 
 
 def pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     """Share in percent, rounded half up."""
-    return F.round(ratio(numerator, denominator) * 100, digits)
+    return F.round(ratio(numerator * 100, denominator), digits)
 
 
 def not_cancelled(status: str = "order_status") -> Column:

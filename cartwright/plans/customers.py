@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import join_text, not_cancelled, pct, whole_days
+from cartwright.functions import join_text, not_cancelled, pct, ratio, whole_days
 from cartwright.functions import labels as L
 from cartwright.operators.ranking import distributed_ntile, ntile_window
 from cartwright.runtime import materialize, use_single_task
@@ -133,7 +133,7 @@ def rfm_segments(scores: DataFrame) -> DataFrame:
 
 
 def _mean(total: str, digits: int) -> Column:
-    return F.round(F.col(total).cast("double") / F.col("customer_count"), digits)
+    return F.round(ratio(F.col(total), F.col("customer_count")), digits)
 
 
 def revenue_at_risk(segments: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def rfm_score_cells(
         )
         .withColumn(
             "avg_segment_spend",
-            F.round(F.col("__spend").cast("double") / F.col("total_customers"), 2),
+            F.round(ratio(F.col("__spend"), F.col("total_customers")), 2),
         )
         .drop("__spend")
         .orderBy(

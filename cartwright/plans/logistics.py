@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import interval_micros, moment, pct
+from cartwright.functions import interval_micros, moment, pct, ratio
 from cartwright.functions import labels as L
 from cartwright.functions.dates import MICROS_PER_DAY
 from cartwright.operators.percentiles import distributed_percentiles, percentile_columns
@@ -59,7 +59,7 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
         F.round("median_delivery_days", 2).alias("median_delivery_days"),
         F.round("p90_delivery_days", 2).alias("p90_delivery_days"),
         pct(F.col("__on_time"), F.col("total_deliveries"), 1).alias("on_time_sla_pct"),
-        F.round(F.col("__fees").cast("double") / F.col("__fee_rows"), 2).alias(
+        F.round(ratio(F.col("__fees"), F.col("__fee_rows")), 2).alias(
             "avg_shipping_fee_collected"
         ),
     )

@@ -95,4 +95,5 @@ def rnd(x: str, digits: int) -> str:
 
 
 def share(num: str, den: str, digits: int = 2) -> str:
-    return rnd(f"{dbl(num)} / nullif({dbl(den)}, 0) * 100", digits)
+    top, bottom = dbl(f"({num}) * 1000000"), dbl(f"({den}) * 10000")
+    return rnd(f"{top} / nullif({bottom}, 0)", digits)

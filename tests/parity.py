@@ -48,6 +48,7 @@ def differences(spark_df, con, statement: str) -> str | None:
         return f"columns differ: {got_cols} and {want_cols}"
     if want == got:
         return None
-    extra = [r for r in got if r not in set(want)][:3]
-    lacking = [r for r in want if r not in set(got)][:3]
+    got_set, want_set = set(got), set(want)
+    extra = [r for r in got if r not in want_set][:3]
+    lacking = [r for r in want if r not in got_set][:3]
     return f"{len(got)} rows and {len(want)} rows; only ours {extra}; only SQL {lacking}"
