@@ -7,11 +7,13 @@ from cartwright.functions.dates import (
     whole_days,
 )
 from cartwright.functions.labels import CANCELLED
-from cartwright.functions.numbers import not_cancelled, pct, ratio
+from cartwright.functions.numbers import amount, cents, not_cancelled, pct, ratio
 from cartwright.functions.text import fixed, join_text, money, percent
 
 __all__ = [
     "CANCELLED",
+    "amount",
+    "cents",
     "fixed",
     "interval_days",
     "interval_micros",

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.functions.labels import CANCELLED
 
@@ -22,6 +23,23 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return (numerator * scale).cast("double") / F.nullif(whole, F.lit(0.0))
 
 
+def cents(df: DataFrame, name: str) -> Column:
+    """An amount column as whole cents, for sums over lines.
+
+    Sums of 64-bit integers stay in generated code; decimal sums do not. They
+    hold 92 quadrillion currency units, and Spark raises an error beyond that.
+    """
+    kind = df.schema[name].dataType
+    if not isinstance(kind, T.DecimalType) or kind.scale > 2:
+        raise TypeError(f"{name} must be a decimal with at most two decimals, not {kind}")
+    return (F.col(name) * 100).cast("bigint")
+
+
+def amount(whole_cents: Column) -> Column:
+    """Whole cents as an exact decimal amount."""
+    return (whole_cents.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast("decimal(22,2)")
+
+
 def pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     """Share in percent, rounded half up."""
     return F.round(ratio(numerator * 100, denominator), digits)

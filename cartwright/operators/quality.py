@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.functions import CANCELLED, moment
+from cartwright.functions import CANCELLED, amount, cents, moment
 from cartwright.functions import labels as L
 
 Tables = dict[str, DataFrame]
@@ -92,7 +92,8 @@ def _negative_margin(t: Tables) -> DataFrame:
 def _lines_against_orders(t: Tables) -> DataFrame:
     """Orphan lines and header/line mismatches from one aggregate of the lines."""
     per_order = t["order_items"].groupBy("order_id").agg(
-        F.count("*").alias("__rows"), F.sum("total_price").alias("__lines")
+        F.count("*").alias("__rows"),
+        amount(F.sum(cents(t["order_items"], "total_price"))).alias("__lines"),
     )
     headers = t["orders"].select("order_id", "subtotal_amount", F.lit(True).alias("__found"))
     found = F.col("__found").isNotNull()

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import month_start, not_cancelled, pct, ratio
+from cartwright.functions import amount, cents, month_start, not_cancelled, pct, ratio
 
 
 def line_totals(items: DataFrame) -> DataFrame:
     """Lines and cost per order: one row per order, combined before the shuffle."""
     return items.groupBy("order_id").agg(
         F.count("*").alias("n_lines"),
-        F.sum(F.col("quantity") * F.col("cost_price")).alias("order_cogs"),
+        F.sum(F.col("quantity") * cents(items, "cost_price")).alias("cogs_cents"),
     )
 
 
@@ -47,7 +47,7 @@ def _monthly_sums(orders: DataFrame, items: DataFrame, *, per_line: bool) -> Dat
         F.sum(F.col("discount_amount") * weight).alias("total_discounts"),
         F.sum(F.col("shipping_fee") * weight).alias("total_shipping_revenue"),
         F.sum(F.col("total_amount") * weight).alias("net_revenue"),
-        F.sum("order_cogs").alias("total_cogs"),
+        F.sum(amount(F.col("cogs_cents"))).alias("total_cogs"),
     ).withColumn("gross_profit", F.col("net_revenue") - F.col("total_cogs"))
 
 

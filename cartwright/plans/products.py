@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright.functions import labels as L
-from cartwright.functions import not_cancelled, pct
+from cartwright.functions import amount, cents, not_cancelled, pct
 from cartwright.operators.ranking import distributed_running_sum, running_share_window
 from cartwright.runtime import materialize, use_single_task
 
@@ -21,14 +21,15 @@ def product_sales(
     names are attached, so the dimension joins see one row per product.
     """
     live = orders.filter(not_cancelled()).select("order_id")
-    line_profit = F.col("total_price") - F.col("quantity") * F.col("cost_price")
+    revenue = cents(items, "total_price")
+    cost = F.col("quantity") * cents(items, "cost_price")
     sold = (
         items.join(live, "order_id", "left_semi")
         .groupBy("product_id")
         .agg(
             F.sum("quantity").alias("total_units_sold"),
-            F.sum("total_price").alias("total_revenue"),
-            F.sum(line_profit).alias("total_gross_profit"),
+            amount(F.sum(revenue)).alias("total_revenue"),
+            amount(F.sum(revenue - cost)).alias("total_gross_profit"),
         )
     )
     return (

@@ -31,9 +31,8 @@ _DELIVERY_HOURS = """CASE order_status
     WHEN 'delivered' THEN 48 + (order_id * 7919) % 120
     WHEN 'returned' THEN 72 + (order_id * 31) % 48 END"""
 
-_DISCOUNT = """CASE WHEN o_orderkey % 12 = 0
-    THEN CAST(CAST(o_totalprice AS DECIMAL(12,2)) * CAST(0.10 AS DECIMAL(3,2)) AS DECIMAL(12,2))
-    ELSE CAST(0 AS DECIMAL(12,2)) END"""
+_DISCOUNT_CENTS = """CASE WHEN o_orderkey % 12 = 0
+    THEN (floor(o_totalprice * 100 + 0.5D) + 5) div 10 ELSE 0 END"""
 
 _PAYMENT_STATUS = """CASE order_status
     WHEN 'pending' THEN 'pending'
@@ -42,6 +41,11 @@ _PAYMENT_STATUS = """CASE order_status
     ELSE 'completed' END"""
 
 
+def _amount(cents: str) -> str:
+    """SQL for whole cents as an exact amount; stays within 18 digits."""
+    return f"CAST(CAST({cents} AS DECIMAL(14,0)) * 0.01BD AS DECIMAL(12,2))"
+
+
 class StarTables:
     """Canonical views of one test-data folder."""
 
@@ -59,9 +63,9 @@ class StarTables:
             "o_custkey AS customer_id",
             "o_orderdate AS order_date",
             f"{_STATUS} AS order_status",
-            "CAST(o_totalprice AS DECIMAL(12,2)) AS subtotal_amount",
-            "CAST(o_orderkey % 10 AS DECIMAL(12,2)) AS shipping_fee",
-            f"{_DISCOUNT} AS discount_amount",
+            f"{_amount('floor(o_totalprice * 100 + 0.5D)')} AS subtotal_amount",
+            "CAST(CAST(o_orderkey % 10 AS INT) AS DECIMAL(12,2)) AS shipping_fee",
+            f"{_amount(_DISCOUNT_CENTS)} AS discount_amount",
             "o_orderpriority",
         )
         orders = keyed.selectExpr(
@@ -86,31 +90,31 @@ class StarTables:
         return orders.join(places, "customer_id")
 
     def order_items(self) -> DataFrame:
+        # Amounts are whole cents in 64-bit integers until the last step.
         cents = self.raw("lineitem").selectExpr(
             "l_orderkey AS order_id",
             "l_partkey AS product_id",
             "l_linenumber AS line_number",
             "l_shipdate AS created_at",
             "CAST(l_quantity AS BIGINT) AS quantity",
-            "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * 100 AS BIGINT) div "
-            "CAST(l_quantity AS BIGINT) AS unit_cents",
-            "CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS BIGINT) AS discount_pct",
+            "floor(l_extendedprice * 100 + 0.5D) div CAST(l_quantity AS BIGINT) AS unit_cents",
+            "floor(l_discount * 100 + 0.5D) AS discount_pct",
         )
-        items = cents.selectExpr(
+        lines = cents.selectExpr(
+            "*",
+            "(unit_cents * (50 + product_id % 30)) div 100 AS cost_cents",
+            "(unit_cents * quantity * discount_pct) div 100 AS discount_cents",
+        )
+        return lines.selectExpr(
             "order_id",
             "product_id",
             "line_number",
             "created_at",
             "quantity",
-            "CAST(unit_cents * 0.01BD AS DECIMAL(12,2)) AS unit_price",
-            "CAST((unit_cents * (50 + product_id % 30)) div 100 * 0.01BD AS DECIMAL(12,2)) "
-            "AS cost_price",
-            "CAST((unit_cents * quantity * discount_pct) div 100 * 0.01BD AS DECIMAL(12,2)) "
-            "AS item_discount",
-        )
-        return items.withColumn(
-            "total_price",
-            F.expr("CAST(quantity * unit_price - item_discount AS DECIMAL(12,2))"),
+            f"{_amount('unit_cents')} AS unit_price",
+            f"{_amount('cost_cents')} AS cost_price",
+            f"{_amount('discount_cents')} AS item_discount",
+            f"{_amount('quantity * unit_cents - discount_cents')} AS total_price",
         )
 
     def products(self) -> DataFrame:
