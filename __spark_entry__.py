@@ -84,7 +84,7 @@ def _pareto(t: StarTables) -> DataFrame:
 
 
 def _sla(t: StarTables) -> DataFrame:
-    return logistics.delivery_sla_by_state(t.orders(with_state=True))
+    return logistics.delivery_sla_by_state(t.orders(with_state=True), bounded_by=t.orders())
 
 
 def _returns(t: StarTables) -> DataFrame:

@@ -66,10 +66,18 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
 
 
 def delivery_sla_by_state(
-    orders: DataFrame, sla_days: float = 4, min_n: int = 20, strategy: str = "auto"
+    orders: DataFrame,
+    sla_days: float = 4,
+    min_n: int = 20,
+    strategy: str = "auto",
+    bounded_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Delivery times per state with at least ``min_n`` deliveries, fastest first."""
-    single = use_single_task(strategy, orders)
+    """Delivery times per state with at least ``min_n`` deliveries, fastest first.
+
+    When ``orders`` is itself a join, pass the stored table behind it as
+    ``bounded_by``, so that checking its size does not run the join.
+    """
+    single = use_single_task(strategy, orders if bounded_by is None else bounded_by)
     return (
         _sla(_deliveries(orders), "shipping_state", sla_days, single_task=single)
         .filter(F.col("total_deliveries") >= min_n)

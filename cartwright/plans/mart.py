@@ -3,7 +3,7 @@
 A refresh writes a complete new version next to the old ones and then appends
 one row to ``published``. Readers look up the newest published version, so they
 see the old mart or the new one and never a mixture, and a version they are
-reading stays in place. The mart holds one row per calendar month, so writing
+reading stays in place. One job at a time may publish. The mart holds one row per calendar month, so writing
 it whole is cheap even when only one month changed.
 """
 
@@ -102,6 +102,8 @@ def refresh_mart_incremental(
         & (when < F.lit(after).cast(kind))
         & month_start(when).isin(touched)
     )
+    # Lines of other months are dropped before they are summed per order.
+    lines = items.join(affected.select("order_id"), "order_id", "left_semi")
     kept = read_mart(spark, root).filter(~F.col("sales_month").isin(touched))
-    publish(spark, kept.unionByName(monthly_mart(affected, items)), root)
+    publish(spark, kept.unionByName(monthly_mart(affected, lines)), root)
     return sorted(touched)
