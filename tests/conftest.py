@@ -18,6 +18,7 @@ def spark():
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cartwright-test-"))
         .getOrCreate()
     )
