@@ -286,7 +286,9 @@ def _delete_propagation(t: StarTables) -> DataFrame:
 
 
 def _ledger(t: StarTables, strategy: str = "auto") -> DataFrame:
-    return inventory.inventory_ledger(t.products(), t.order_items(), LINE_ARRIVAL, strategy)
+    return inventory.inventory_ledger(
+        t.products(), t.order_items(), LINE_ARRIVAL, strategy, unique=False
+    )
 
 
 def _trigram_search(t: StarTables) -> DataFrame:
@@ -323,6 +325,7 @@ def _inventory_stream(t: StarTables) -> DataFrame:
         sink,
         f"{sink}-checkpoint",
         arrival=LINE_ARRIVAL,
+        unique=False,
     )
     query.awaitTermination()
     return t.spark.read.parquet(f"{sink}/ledger").drop("batch")

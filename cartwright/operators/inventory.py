@@ -14,6 +14,9 @@ from cartwright.runtime import use_single_task
 # inserted. Another choice must order a product's lines up to identical rows.
 ARRIVAL = ("order_item_id",)
 
+# Copies of one line that a task writes out from one row.
+COPIES_PER_CHUNK = 100_000
+
 
 class InsufficientInventory(RuntimeError):
     """A batch would take some product below zero; nothing was applied."""
@@ -25,20 +28,47 @@ def line_columns(arrival: Sequence[str]) -> list[str]:
 
 
 def running_sales(
-    items: DataFrame, arrival: Sequence[str] = ARRIVAL, strategy: str = "auto"
+    items: DataFrame,
+    arrival: Sequence[str] = ARRIVAL,
+    strategy: str = "auto",
+    unique: bool = True,
 ) -> DataFrame:
     """Lines with ``sold_upto``: units of the product sold up to and with the line.
 
     A plain window keeps all lines of a product in one task. Beyond a bounded
     number of lines the running sum is taken over range partitions of
     (product, arrival), so a best seller spreads over many tasks.
+
+    ``unique`` says that no two lines of a product share their arrival values.
+    Otherwise equal rows are interchangeable, and any number of copies of a
+    line is summed as one row and written out again afterwards.
     """
     if use_single_task(strategy, items):
         upto = Window.partitionBy("product_id").orderBy(*arrival).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         return items.withColumn("sold_upto", F.sum("quantity").over(upto))
-    return grouped_running_sum(items, "product_id", arrival, "quantity", "sold_upto")
+    if unique:
+        return grouped_running_sum(items, "product_id", arrival, "quantity", "sold_upto")
+    copies = (
+        items.groupBy(*items.columns)
+        .agg(F.count("*").alias("__copies"))
+        .withColumn("__units", F.col("__copies") * F.col("quantity"))
+    )
+    summed = grouped_running_sum(copies, "product_id", arrival, "__units", "sold_upto")
+    return _write_out_copies(summed, items.columns)
+
+
+def _write_out_copies(summed: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per copy again, the copies of a line spread over tasks in chunks."""
+    last_chunk = F.expr(f"(__copies - 1) div {COPIES_PER_CHUNK}")
+    chunks = summed.withColumn("__chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
+    spread = chunks.repartition(*columns, "__chunk")
+    first = F.col("__chunk") * COPIES_PER_CHUNK + 1
+    last = F.least((F.col("__chunk") + 1) * COPIES_PER_CHUNK, F.col("__copies"))
+    nth = spread.withColumn("__nth", F.explode(F.sequence(first, last)))
+    before = F.col("sold_upto") - F.col("__units")
+    return nth.select(*columns, (before + F.col("__nth") * F.col("quantity")).alias("sold_upto"))
 
 
 def inventory_ledger(
@@ -46,13 +76,14 @@ def inventory_ledger(
     items: DataFrame,
     arrival: Sequence[str] = ARRIVAL,
     strategy: str = "auto",
+    unique: bool = True,
 ) -> DataFrame:
     """Stock after each line, and whether the line is the first to oversell."""
     lines = items.select(*line_columns(arrival))
     stock = products.select("product_id", "stock_quantity")
     left = F.col("stock_quantity") - F.col("sold_upto")
     return (
-        running_sales(lines, arrival, strategy)
+        running_sales(lines, arrival, strategy, unique)
         .join(stock, "product_id")
         .select(
             *lines.columns,

@@ -72,6 +72,7 @@ def inventory_stream(
     *,
     arrival: Sequence[str] = ARRIVAL,
     strategy: str = "auto",
+    unique: bool = True,
     **trigger,
 ) -> StreamingQuery:
     """Start the ledger. Lines are applied in batch order and, inside a batch,
@@ -101,7 +102,7 @@ def inventory_stream(
             )
         )
         left = F.col("opening") - F.col("sold_upto")
-        ledger = running_sales(rows, arrival, strategy).join(stock, "product_id").select(
+        ledger = running_sales(rows, arrival, strategy, unique).join(stock, "product_id").select(
             *columns,
             left.alias("stock_after"),
             (left < 0).alias("oversold"),

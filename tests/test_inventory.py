@@ -48,6 +48,24 @@ def test_ledger_flags_the_first_oversell(spark, strategy):
     ]
 
 
+def test_copies_of_a_line(spark, monkeypatch):
+    """A third of all lines are copies of one; they are written out in chunks."""
+    monkeypatch.setattr(inventory, "COPIES_PER_CHUNK", 7)
+    lines = spark.range(300).select(
+        (F.col("id") % 3 == 0).cast("int").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, 5).otherwise(F.col("id")).alias("at"),
+        F.lit(2).alias("quantity"),
+    )
+    goods = frame(spark, "products", *[dict(product_id=i, stock_quantity=90) for i in (0, 1)])
+    single, spread = (
+        inventory.inventory_ledger(goods, lines, ("at",), strategy, unique=False)
+        for strategy in ("single", "distributed")
+    )
+    assert spread.columns == single.columns
+    assert _rows(spread) == _rows(single)
+    assert spread.filter("first_oversell").count() == 2
+
+
 def test_batch_is_applied_whole_or_not_at_all(spark):
     goods = _goods(spark)
     after = inventory.apply_sales(goods, _lines(spark, 2, 3, 9))
