@@ -7,7 +7,7 @@ from cartwright.functions.dates import (
     whole_days,
 )
 from cartwright.functions.labels import CANCELLED
-from cartwright.functions.numbers import amount, cents, not_cancelled, pct, ratio
+from cartwright.functions.numbers import amount, cents, not_cancelled, pct, pct_of_cents, ratio
 from cartwright.functions.text import fixed, join_text, money, percent
 
 __all__ = [
@@ -24,6 +24,7 @@ __all__ = [
     "month_start",
     "not_cancelled",
     "pct",
+    "pct_of_cents",
     "percent",
     "ratio",
     "whole_days",

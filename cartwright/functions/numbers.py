@@ -45,6 +45,13 @@ def pct(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     return F.round(ratio(numerator * 100, denominator), digits)
 
 
+def pct_of_cents(part: Column, whole: Column, digits: int = 2) -> Column:
+    """``pct`` for whole numbers, which need no scaling; for use on every line."""
+    return F.round(
+        (part * 100).cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits
+    )
+
+
 def not_cancelled(status: str = "order_status") -> Column:
     """Row filter of the revenue reports; an unknown (NULL) status fails it."""
     return F.col(status) != CANCELLED

@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import interval_micros, moment, pct, ratio
+from cartwright.functions import amount, cents, interval_micros, moment, pct, pct_of_cents, ratio
 from cartwright.functions import labels as L
 from cartwright.functions.dates import MICROS_PER_DAY
 from cartwright.operators.percentiles import distributed_percentiles, percentile_columns
@@ -162,7 +162,8 @@ def order_details(
     catalogue = products.select("product_id", "product_name", "category_id").join(
         categories.select("category_id", "category_name"), "category_id"
     )
-    profit = F.col("total_price") - F.col("quantity") * F.col("cost_price")
+    revenue = cents(items, "total_price")
+    profit = revenue - F.col("quantity") * cents(items, "cost_price")
     return (
         items.join(headers, "order_id")
         .join(catalogue, "product_id")
@@ -184,7 +185,7 @@ def order_details(
             "cost_price",
             "item_discount",
             F.col("total_price").alias("item_revenue"),
-            profit.alias("item_gross_profit"),
-            pct(profit, F.col("total_price")).alias("item_margin_pct"),
+            amount(profit).alias("item_gross_profit"),
+            pct_of_cents(profit, revenue).alias("item_margin_pct"),
         )
     )

@@ -13,6 +13,18 @@ from pyspark.sql import functions as F
 # fixed values: product types of the test data, in category-id order from 1
 CATEGORY_NAMES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
+# fixed values: columns of the test files that the views read
+FILE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_type STRING, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE",
+}
+
 # Arrival order of lines: the test data has no line id, so all columns decide
 # and rows that tie on all of them are interchangeable.
 LINE_ARRIVAL = (
@@ -54,7 +66,8 @@ class StarTables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        return self.spark.read.schema(FILE_SCHEMAS[name]).parquet(path)
 
     def orders(self, *, with_state: bool = False) -> DataFrame:
         source = self.raw("orders")
