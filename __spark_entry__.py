@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from cartwright.functions import money
 from cartwright.operators import constraints as C
 from cartwright.operators import inventory, quality, search
-from cartwright.operators.ranking import distributed_ntile, distributed_running_sum
+from cartwright.operators.ranking import distributed_running_sum
 from cartwright.plans import cohorts, customers, finance, logistics, mart, payments, products
 from cartwright.plans import reports as R
 from cartwright.runtime import fresh_path, materialize

@@ -1,5 +1,4 @@
 from cartwright.functions.dates import (
-    interval_days,
     interval_micros,
     moment,
     month_distance,
@@ -15,7 +14,6 @@ __all__ = [
     "amount",
     "cents",
     "fixed",
-    "interval_days",
     "interval_micros",
     "join_text",
     "moment",

@@ -45,8 +45,3 @@ def interval_micros(earlier: Column, later: Column) -> Column:
 
     minutes = (part("DAY").cast("bigint") * 24 + part("HOUR")) * 60 + part("MINUTE")
     return minutes * 60_000_000 + (part("SECOND") * 1_000_000).cast("bigint")
-
-
-def interval_days(earlier: Column, later: Column) -> Column:
-    """Fractional days between two instants."""
-    return interval_micros(earlier, later).cast("double") / float(MICROS_PER_DAY)
