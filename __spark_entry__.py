@@ -29,6 +29,15 @@ from cartwright.sources.star_tables import LINE_ARRIVAL
 from cartwright.streaming import inventory_stream, monthly_stream, stock_levels
 from oracle import ORACLE
 
+try:
+    from cartwright.llm.queries import ORACLE as LLM_ORACLE
+    from cartwright.llm.queries import QUERIES as LLM_QUERIES
+except ModuleNotFoundError as missing:
+    # The training-data subpackage, its pipeline file included, may be left out; any other missing module is a fault.
+    if missing.name not in ("cartwright.llm", "cartwright.llm.queries", "corpus_pipeline"):
+        raise
+    LLM_ORACLE, LLM_QUERIES = {}, {}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = datetime.datetime(2001, 1, 1)
@@ -453,11 +462,11 @@ def _query(plan: Callable[[StarTables], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {name: _query(plan) for name, plan in PLANS.items()}
+    return {name: _query(plan) for name, plan in PLANS.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: ORACLE[name] for name in PLANS if name in ORACLE}
+    return {name: ORACLE[name] for name in PLANS if name in ORACLE} | LLM_ORACLE
 
 
 def entry(spark: SparkSession) -> DataFrame:

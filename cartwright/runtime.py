@@ -8,7 +8,6 @@ lost executor costs a re-read and nothing else.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,22 +17,22 @@ from pyspark.sql import DataFrame, SparkSession
 # input has at most this many rows; larger inputs take the distributed form.
 SINGLE_TASK_ROWS = 500_000
 
-_local_dirs: dict[str, str] = {}
-
 
 def work_dir(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables of this application."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return f"{named.rstrip('/')}/cartwright"
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder that every executor can reach"
-            )
-        _local_dirs[app] = tempfile.mkdtemp(prefix="cartwright-")
-    return _local_dirs[app]
+    """Shared folder for intermediate tables of this application.
+
+    ``spark.checkpoint.dir`` names it. Where that is unset, the tables go below
+    the warehouse, which all executors of a session share as well.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{root.rstrip('/')}/cartwright-{spark.sparkContext.applicationId}"
+
+
+def clear_work_dir(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; call it when its results are stored."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
