@@ -30,13 +30,13 @@ WINDOW = 3
 
 #: Coordinates of the vector and the least standard deviation each is given. Most texts have
 #: no symbol, double line or repetition at all, so their spread alone would reject the first one.
-COORDINATES = {"length": 1.5, "word_length": 0.15, "symbols": 0.10, "dup_lines": 0.20, "repeats": 0.20}
+COORDINATES = {"length": 1.5, "word_length": 0.15, "symbols": 0.04, "dup_lines": 0.10, "repeats": 0.20}
 DIM = len(COORDINATES)
 #: Groups with fewer rows are judged by their language, and languages with fewer by all rows.
 MIN_GROUP = 100
 STEPS = 8
-#: A text is rejected beyond this distance: the 1 - 1e-6 quantile of chi-square with five degrees of freedom is 35.9.
-MAX_SQUARED_DISTANCE = 36.0
+#: A text is rejected beyond this squared distance, the 0.9999 quantile of chi-square with five degrees of freedom.
+MAX_SQUARED_DISTANCE = 25.7
 #: Distance classes of a concentration step: this many per doubling of the squared distance.
 CLASSES = 16
 

@@ -7,8 +7,8 @@ how accurate each voter is and which voters repeat each other, and turns votes
 into posterior labels. A linear classifier is trained on these posteriors and
 scores every text.
 
-The label that people gave counts as one more voter, so single wrong labels
-do not have to be believed.
+The label that people gave counts as one more voter, of a stated accuracy, which
+tells the model which class is which; a single wrong label need not be believed.
 
 What reaches the driver is bounded by the model: the mined entries (at most
 ``max_entries`` of each kind), one count per combination of votes, and a sample
@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,8 +49,12 @@ VOTERS = WORD_FOLDS + PREFIX_FOLDS + len(PATTERNS)
 FEATURES = VOTERS + WORD_FOLDS + PREFIX_FOLDS + 2
 
 MIN_Z = 3.0
+MIN_RATIO = 20.0
+MIN_FAMILY = 4
 MAX_ENTRIES = 5000
 MAX_ROWS = 20_000
+#: Accuracy that the label model gives to a human label.
+TRUST = 0.98
 SEED = 6
 
 _WORDS = re.compile(r"\w+")
@@ -69,35 +73,68 @@ class Lexicon:
     prefixes: dict[str, int] = field(default_factory=dict)
 
 
-def mine_lexicon(labelled: DataFrame, *, min_z: float = MIN_Z, max_entries: int = MAX_ENTRIES) -> Lexicon:
-    """Entries whose document counts in toxic and other texts differ by a log odds of ``min_z`` standard errors.
+def _log_odds(t: Column, c: Column, totals: Row) -> tuple[Column, Column]:
+    """Log ratio of the two rates, and how many standard errors it is from 0."""
+    odds = F.log((t + 0.5) / (totals["t"] + 1)) - F.log((c + 0.5) / (totals["c"] + 1))
+    return odds, odds / F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
 
-    ``labelled`` (text, toxic) counts every distinct word once per text. A word
-    beginning has the sum of its words' counts. The ``max_entries`` entries
-    with the largest z are the size of the model.
+
+def mine_lexicon(
+    labelled: DataFrame, *, min_z: float = MIN_Z, min_ratio: float = MIN_RATIO, max_entries: int = MAX_ENTRIES
+) -> Lexicon:
+    """Words that mark toxic texts, and word beginnings that many of them share.
+
+    ``labelled`` holds (text, toxic). A word is a candidate if the share of
+    toxic texts that have it is ``min_ratio`` times that of other texts and
+    ``min_z`` standard errors above it. Copies of one text would make all of
+    its words candidates, so a word must also do so in the number of different
+    words it follows. A beginning marks toxic texts if at least ``MIN_FAMILY``
+    different words with it, and nine of ten, were found in toxic texts alone. The ``max_entries`` best candidates are the size of
+    the model.
     """
-    totals = labelled.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).first()
+    is_toxic = F.col("toxic") == 1
+    totals = labelled.agg(F.count_if(is_toxic).alias("t"), F.count_if(~is_toxic).alias("c")).first()
+    words_of = F.split(F.lower(whole()), r"[^\p{L}\p{N}_]+")
     words = (
-        labelled.select("toxic", F.explode(F.array_distinct(F.split(F.lower(whole()), r"[^\p{L}\p{N}_]+"))).alias("entry"))
+        labelled.select("toxic", F.explode(F.array_distinct(words_of)).alias("entry"))
         .filter("entry != ''")
-        .groupBy("entry").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c"))
+        .groupBy("entry").agg(F.count_if(is_toxic).alias("t"), F.count_if(~is_toxic).alias("c"))
+    )
+    words = materialize(words, "words")
+
+    def marking(table: DataFrame) -> DataFrame:
+        odds, z = _log_odds(F.col("t"), F.col("c"), totals)
+        return table.withColumns({"odds": odds, "z": z}).filter(
+            (F.col("odds") >= float(np.log(min_ratio))) & (F.col("z") >= min_z)
+        )
+
+    candidates = [r["entry"] for r in marking(words).orderBy(F.desc("z"), "entry").limit(max_entries).collect()]
+    # At most ``max_entries`` words: small enough to send to every task.
+    known = F.broadcast(labelled.sparkSession.createDataFrame([(w,) for w in candidates], "entry string"))
+    contexts = (
+        labelled.select("toxic", words_of.alias("w"))
+        .select("toxic", F.inline(F.arrays_zip(F.concat(F.array(F.lit("")), "w").alias("before"), F.col("w").alias("entry"))))
+        .join(known, "entry", "left_semi")
+        .groupBy("entry", "before").agg(F.max(is_toxic).alias("t"), F.max(~is_toxic).alias("c"))
+        .groupBy("entry").agg(F.sum(F.col("t").cast("int")).alias("t"), F.sum(F.col("c").cast("int")).alias("c"))
     )
-    words = materialize(words.filter("t > 1 OR c > 1"), "words")
-    beginnings = [F.substring("entry", 1, n) for n in PREFIX_LENGTHS]
+    chosen = materialize(marking(contexts).select("entry"), "marking")
+    beginnings = F.explode(F.array_distinct(F.array(*[F.substring("entry", 1, n) for n in PREFIX_LENGTHS])))
+    only_toxic = ((F.col("t") > 0) & (F.col("c") == 0)).cast("int")
     prefixes = (
         words.filter(F.length("entry") >= min(PREFIX_LENGTHS))
-        .select("t", "c", F.explode(F.array_distinct(F.array(*beginnings))).alias("entry"))
-        .groupBy("entry").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
+        .select(only_toxic.alias("hit"), beginnings.alias("prefix"))
+        .groupBy("prefix").agg(F.sum("hit").alias("hits"), F.count("*").alias("n"))
+        .filter((F.col("hits") >= MIN_FAMILY) & (10 * F.col("hits") >= 9 * F.col("n")))
+        .orderBy(F.desc("hits"), "prefix").limit(max_entries)
+        .select(F.col("prefix").alias("entry"))
     )
-    odds = F.log((F.col("t") + 0.5) / (totals["t"] + 1)) - F.log((F.col("c") + 0.5) / (totals["c"] + 1))
-    z = odds / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
 
-    def best(table: DataFrame, folds: int) -> dict[str, int]:
-        fold = F.pmod(F.xxhash64("entry"), F.lit(folds)).cast("int").alias("fold")
-        chosen = table.withColumn("z", z).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "entry").limit(max_entries)
-        return {r["entry"]: r["fold"] for r in chosen.select("entry", fold).collect()}
+    def folds(table: DataFrame, n: int) -> dict[str, int]:
+        rows = table.select("entry", F.pmod(F.xxhash64("entry"), F.lit(n)).cast("int").alias("fold")).collect()
+        return {r["entry"]: r["fold"] for r in rows}
 
-    return Lexicon(best(words, WORD_FOLDS), best(prefixes, PREFIX_FOLDS))
+    return Lexicon(folds(chosen, WORD_FOLDS), folds(prefixes, PREFIX_FOLDS))
 
 
 def features_of(text: str, lexicon: Lexicon) -> list[float]:
@@ -162,22 +199,25 @@ class LabelModel:
         return 1 / (1 + np.exp(np.clip(scores[0] - scores[1], -50, 50)))
 
 
-def fit_label_model(votes: np.ndarray, counts: np.ndarray, start: np.ndarray, *, rounds: int = 40) -> LabelModel:
+def fit_label_model(votes: np.ndarray, counts: np.ndarray, *, trust: float = TRUST, rounds: int = 40) -> LabelModel:
     """Accuracies and correlations by expectation maximisation over counted vote patterns.
 
-    ``start`` is a first guess of P(toxic) per pattern. Voters that agree
+    The last voter is the label that people gave, whose accuracy in either
+    class is ``trust``; that of all others is estimated. Voters that agree
     within both classes more than chance share their weight: a voter's weight
     is one over one plus its positive correlations with the others.
     """
     n_voters = votes.shape[1]
     known = ~np.isnan(votes)
     v = np.where(known, votes, 0)
-    posterior, weight, correlation = start, np.ones(n_voters), np.eye(n_voters)
+    weight, correlation = np.ones(n_voters), np.eye(n_voters)
+    posterior = np.where(votes[:, -1] == 1, trust, 1 - trust)
     model = None
     for step in range(rounds):
         shares = np.stack([counts * (1 - posterior), counts * posterior])
         seen = shares @ known
         positive = np.clip((shares @ v + 0.5) / (seen + 1), 1e-3, 1 - 1e-3)
+        positive[:, -1] = 1 - trust, trust
         prior = float(np.clip(shares[1].sum() / counts.sum(), 1e-3, 0.5))
         if step in (rounds // 3, 2 * rounds // 3):
             covariance = np.zeros((n_voters, n_voters))
@@ -188,6 +228,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, start: np.ndarray, *,
             correlation = covariance / np.outer(scale, scale)
             others = np.clip(correlation - np.diag(np.diag(correlation)), 0, 1)
             weight = 1 / (1 + np.where(others > 0.1, others, 0).sum(axis=1))
+            weight[-1] = 1
         model = LabelModel(prior, positive, weight, correlation)
         posterior = model.posterior(votes)
     return model
@@ -261,7 +302,7 @@ def _train(stored: DataFrame, gold: DataFrame, max_rows: int) -> np.ndarray:
         return _without_labels()
     votes = np.array([[*p["votes"], p["toxic"]] for p in patterns], float)
     counts = np.array([p["n"] for p in patterns], float)
-    model = fit_label_model(votes, counts, 0.05 + 0.9 * votes[:, -1])
+    model = fit_label_model(votes, counts)
     order = [uniform(F.col("doc_id"), SEED), F.col("doc_id")]
     sample = known.orderBy(*order).limit(max_rows).select("x", "toxic").toPandas()
     x = np.array(sample["x"].tolist(), float)
