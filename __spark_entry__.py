@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.functions import labels as L
 from cartwright.functions import money
 from cartwright.operators import constraints as C
-from cartwright.operators import inventory, quality, search
+from cartwright.operators import inventory, quality
 from cartwright.operators.ranking import distributed_running_sum
 from cartwright.plans import cohorts, customers, finance, logistics, mart, payments, products
 from cartwright.plans import reports as R
@@ -24,6 +26,7 @@ from cartwright.sources import (
     write_orders_by_customer,
     write_orders_by_status,
 )
+from cartwright.sources.loading import LOAD_ORDER, load_tables, read_rejected
 from cartwright.sources.schemas import SCHEMAS
 from cartwright.sources.star_tables import LINE_ARRIVAL
 from cartwright.streaming import inventory_stream, monthly_stream, stock_levels
@@ -45,6 +48,10 @@ CELLS_AS_OF = datetime.date(2001, 12, 31)
 TIMELINE_CUSTOMER = 100
 TIMELINE_SINCE = datetime.datetime(1997, 1, 1)
 # Order lines and orders reach the streams in slices up to these dates.
+# Orders for which LATE holds reach order-independent streams after all others.
+LATE = "order_id % 50 = 7"
+# Units added to every product so that all sales together can be served.
+RESTOCK = 10_000_000
 SLICE_ENDS = [datetime.datetime(1997, 1, 1), datetime.datetime(1999, 1, 1), None]
 
 
@@ -93,7 +100,7 @@ def _pareto(t: StarTables) -> DataFrame:
 
 
 def _sla(t: StarTables) -> DataFrame:
-    return logistics.delivery_sla_by_state(t.orders(with_state=True), bounded_by=t.orders())
+    return logistics.delivery_sla_by_state(t.orders(with_state=True))
 
 
 def _returns(t: StarTables) -> DataFrame:
@@ -111,12 +118,11 @@ def _format_money(t: StarTables) -> DataFrame:
     return t.orders().select("order_id", money(balance).alias("balance_text"))
 
 
-# ---------------------------------------------------- scale forms, forced
+# ------------------------------------------- scale forms under their own names
 
 
 def _distributed_ntile(t: StarTables) -> DataFrame:
-    scores = customers.rfm_scores(t.customers(), t.orders(), strategy="distributed")
-    return scores.select("customer_id", "r_score", "f_score", "m_score")
+    return _rfm(t).select("customer_id", "r_score", "f_score", "m_score")
 
 
 def _distributed_running_sum(t: StarTables) -> DataFrame:
@@ -132,7 +138,7 @@ def _distributed_running_sum(t: StarTables) -> DataFrame:
 
 
 def _distributed_percentiles(t: StarTables) -> DataFrame:
-    return logistics.delivery_sla_by_state(t.orders(with_state=True), strategy="distributed")
+    return _sla(t)
 
 
 # ------------------------------------------------------- sources and sinks
@@ -153,6 +159,48 @@ def _load_csv(t: StarTables) -> DataFrame:
     return loaded.withColumns({c: utc(c) for c in ("order_date", "delivery_date")})
 
 
+def _csv_tables(t: StarTables) -> dict[str, DataFrame]:
+    """The seven tables as CSV exports; some channels and methods are unknown, some defaulted fields blank."""
+
+    def one_of(names: list[str], key: str) -> Column:
+        known = F.array(*[F.lit(n) for n in [*names, "unknown"]])
+        return F.element_at(known, (F.col(key) % (len(names) + 1) + 1).cast("int"))
+
+    blank = F.lit(None).cast("string")
+    extra = {
+        "customers": {
+            "acquisition_channel": one_of(L.ACQUISITION_CHANNELS, "customer_id"),
+            "phone": blank, "postal_code": blank, "country": blank,
+        },
+        "categories": {"parent_category_id": blank, "description": blank},
+        "products": {"created_at": blank},
+        "orders": {"shipping_postal_code": blank},
+        "order_items": {"order_item_id": F.expr("order_id * 10 + line_number")},
+        "payments": {"payment_method": one_of(L.PAYMENT_METHODS, "order_id")},
+        "reviews": {"review_title": blank, "review_text": blank, "is_verified_purchase": blank},
+    }
+    tables = t.all() | {"customers": t.customers(with_state=True), "orders": t.orders(with_state=True)}
+    return {
+        name: tables[name].withColumns(extra[name]).select(SCHEMAS[name].names) for name in LOAD_ORDER
+    }
+
+
+def _load_tables(t: StarTables) -> DataFrame:
+    """The whole bulk load: accepted and rejected rows of each of the seven tables."""
+    path = fresh_path(t.spark, "bulk-load")
+    for name, table in _csv_tables(t).items():
+        write_csv(table, f"{path}/in/{name}.csv")
+    loaded = load_tables(t.spark, f"{path}/in", f"{path}/out")
+    counts = [
+        table.select(F.lit(1).alias("ok"))
+        .unionByName(read_rejected(t.spark, f"{path}/out", name, table.schema).select(F.lit(0).alias("ok")))
+        .agg(F.count_if(F.col("ok") == 1).alias("accepted"), F.count_if(F.col("ok") == 0).alias("rejected"))
+        .select(F.lit(name).alias("table_name"), "accepted", "rejected")
+        for name, table in loaded.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _write_csv(t: StarTables) -> DataFrame:
     path = fresh_path(t.spark, "products-csv")
     table = t.products()
@@ -248,6 +296,39 @@ def _enforce_check(t: StarTables) -> DataFrame:
     return _flagged(t.order_items(), rules, "order_id", "line_number", "product_id", "quantity")
 
 
+def _faulty_orders(t: StarTables) -> DataFrame:
+    """All orders, some with one fault or more of every kind that the order table's rules know."""
+
+    def where(fault: int, column: str, value: str) -> str:
+        return f"CASE WHEN order_id % {fault} = 3 THEN {value} ELSE {column} END AS {column}"
+
+    orders = t.orders(with_state=True).selectExpr(
+        "order_id",
+        where(101, "customer_id", "CAST(NULL AS BIGINT)").replace(
+            "ELSE", "WHEN order_id % 107 = 3 THEN -1 ELSE"
+        ),
+        "order_date",
+        where(97, "order_status", "'lost'"),
+        "subtotal_amount",
+        "shipping_fee",
+        "discount_amount",
+        where(113, "total_amount", "CAST(-1 AS DECIMAL(12,2))"),
+        where(103, "shipping_city", "repeat('x', 61)"),
+        "shipping_state",
+        "CAST(NULL AS STRING) AS shipping_postal_code",
+        where(127, "delivery_date", "order_date - INTERVAL '1' DAY"),
+    )
+    return orders.unionByName(orders.filter("order_id % 109 = 3"))
+
+
+def _enforce_table_rules(t: StarTables) -> DataFrame:
+    """One row per violated rule of the order table: order and reason."""
+    rules = C.table_rules("orders", {"customers": t.customers()})
+    return C.flag_violations(_faulty_orders(t), rules).select(
+        "order_id", F.explode(C.REASONS).alias("reason")
+    )
+
+
 def _delete_propagation(t: StarTables) -> DataFrame:
     gone = t.orders().filter("order_status = 'cancelled'").select("order_id")
 
@@ -291,38 +372,47 @@ def _delete_propagation(t: StarTables) -> DataFrame:
     )
 
 
-# ---------------------------------------------------- inventory and search
+# --------------------------------------------------------------- inventory
 
 
-def _ledger(t: StarTables, strategy: str = "auto") -> DataFrame:
-    return inventory.inventory_ledger(
-        t.products(), t.order_items(), LINE_ARRIVAL, strategy, unique=False
-    )
+def _ledger(t: StarTables) -> DataFrame:
+    return inventory.inventory_ledger(t.products(), t.order_items(), LINE_ARRIVAL, unique=False)
+
 
+def _apply_sales(t: StarTables) -> DataFrame:
+    """All lines as one batch against a restocked warehouse, which takes them."""
+    stocked = t.products().withColumn("stock_quantity", F.col("stock_quantity").cast("bigint") + RESTOCK)
+    return inventory.apply_sales(stocked, t.order_items()).select("product_id", "stock_quantity")
 
-def _trigram_search(t: StarTables) -> DataFrame:
-    path = fresh_path(t.spark, "trigrams")
-    search.write_trigram_index(t.products(), path)
-    return search.trigram_search(t.products(), t.spark.read.parquet(path), "Widget")
+
+def _apply_sales_refused(t: StarTables) -> DataFrame:
+    """The same batch against the stock at hand, which one product at least cannot serve."""
+    goods = t.products()
+    try:
+        left, refused = inventory.apply_sales(goods, t.order_items()), False
+    except inventory.InsufficientInventory:
+        left, refused = goods, True
+    return left.select("product_id", "stock_quantity", F.lit(refused).alias("refused"))
 
 
 # --------------------------------------------------------------- streaming
 
 
-def _slices(df: DataFrame, when: str, label: str) -> DataFrame:
-    """File stream over the whole table, written as a few consecutive slices."""
+def _slices(df: DataFrame, when: str, label: str, late: str = "false") -> DataFrame:
+    """File stream over the whole table: one micro-batch or more for each slice of time.
+
+    Rows without a time come first; rows that ``late`` holds for come last,
+    whatever their time.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    start = None
-    for end in SLICE_ENDS:
-        part = df
-        if start is not None:
-            part = part.filter(F.col(when) >= F.lit(start.date()))
-        if end is not None:
-            part = part.filter(F.col(when) < F.lit(end.date()))
-        part.coalesce(4).write.mode("append").parquet(path)
-        start = end
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 4).parquet(path)
+    slice_no = F.when(F.expr(late), len(SLICE_ENDS))
+    for number, end in enumerate(SLICE_ENDS):
+        ends = F.lit(True) if end is None else F.col(when) < F.lit(end.date())
+        slice_no = slice_no.when(F.col(when).isNull() | ends, number)
+    for number in range(len(SLICE_ENDS) + (late != "false")):
+        df.filter(slice_no == number).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _inventory_stream(t: StarTables) -> DataFrame:
@@ -342,7 +432,8 @@ def _inventory_stream(t: StarTables) -> DataFrame:
 
 def _stock_levels_stream(t: StarTables) -> DataFrame:
     sink = fresh_path(t.spark, "stock")
-    lines = _slices(t.order_items().select("product_id", "quantity", "created_at"), "created_at", "lines")
+    columns = t.order_items().select("order_id", "product_id", "quantity", "created_at")
+    lines = _slices(columns, "created_at", "lines", late=LATE)
     query = (
         stock_levels(lines, t.products())
         .writeStream.outputMode("update")
@@ -366,7 +457,7 @@ def _stock_levels_stream(t: StarTables) -> DataFrame:
 def _monthly_stream(t: StarTables) -> DataFrame:
     root = fresh_path(t.spark, "monthly")
     query = monthly_stream(
-        _slices(t.orders(), "order_date", "orders"), root, f"{root}-checkpoint"
+        _slices(t.orders(), "order_date", "orders", late=LATE), root, f"{root}-checkpoint"
     )
     query.awaitTermination()
     return mart.read_mart(t.spark, root)
@@ -432,20 +523,22 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     "enforce_unique": _enforce_unique,
     "enforce_fk": _enforce_fk,
     "enforce_check": _enforce_check,
+    "enforce_table_rules": _enforce_table_rules,
     "delete_propagation": _delete_propagation,
     # sources, sinks and the mart
     "load_csv": _load_csv,
+    "load_tables": _load_tables,
     "load_generated_column": _load_generated_column,
     "write_csv": _write_csv,
     "write_mart": _write_mart,
     "refresh_mart": _refresh_mart,
     "refresh_mart_incremental": _refresh_mart_incremental,
-    # inventory and search
+    # inventory
     "inventory_ledger": _ledger,
-    "inventory_ledger_distributed": lambda t: _ledger(t, "distributed"),
-    "apply_sales": lambda t: inventory.sale_impact(t.products(), t.order_items()),
-    "trigram_index": lambda t: search.trigram_index(t.products()),
-    "trigram_search": _trigram_search,
+    "inventory_ledger_distributed": _ledger,
+    "sale_impact": lambda t: inventory.sale_impact(t.products(), t.order_items()),
+    "apply_sales": _apply_sales,
+    "apply_sales_refused": _apply_sales_refused,
     # scale forms
     "distributed_ntile": _distributed_ntile,
     "distributed_running_sum": _distributed_running_sum,

@@ -28,6 +28,24 @@ HIBERNATING = "Hibernating High Value"
 LOST = "Lost Customers"
 STANDARD = "Standard Buyers"
 
+# fixed values: segment rules over the three scores; the first that holds names the segment
+SEGMENT_RULES = [
+    (CHAMPIONS, "r >= 4 AND f >= 4 AND m >= 4"),
+    (LOYAL, "r >= 3 AND f >= 3 AND m >= 3"),
+    (RECENT, "r >= 4 AND f BETWEEN 1 AND 2"),
+    (BIG_SPENDERS, "r >= 3 AND f >= 1 AND m >= 4"),
+    (NEED_ATTENTION, "r BETWEEN 2 AND 3 AND f >= 3"),
+    (AT_RISK, "r <= 2 AND f >= 3 AND m >= 3"),
+    (HIBERNATING, "r <= 2 AND f <= 2 AND m >= 3"),
+    (LOST, "r <= 2 AND f <= 2 AND m <= 2"),
+]
+
+
+def segment_case(otherwise: str = STANDARD) -> str:
+    """SQL that names the segment of columns r, f and m."""
+    rules = " ".join(f"WHEN {rule} THEN '{name}'" for name, rule in SEGMENT_RULES)
+    return f"CASE {rules} ELSE '{otherwise}' END"
+
 # fixed values: Pareto tiers (upper bound of the cumulative share, name)
 TIER_A = (80.0, "Tier A (Top 80% Driver)")
 TIER_B = (95.0, "Tier B (Mid 15% Contributor)")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.operators.ranking import grouped_running_sum
-from cartwright.runtime import use_single_task
+from cartwright.runtime import materialize
 
 # Columns in whose order lines reach the stock: line ids grow as lines are
 # inserted. Another choice must order a product's lines up to identical rows.
@@ -28,26 +28,17 @@ def line_columns(arrival: Sequence[str]) -> list[str]:
 
 
 def running_sales(
-    items: DataFrame,
-    arrival: Sequence[str] = ARRIVAL,
-    strategy: str = "auto",
-    unique: bool = True,
+    items: DataFrame, arrival: Sequence[str] = ARRIVAL, unique: bool = True
 ) -> DataFrame:
     """Lines with ``sold_upto``: units of the product sold up to and with the line.
 
-    A plain window keeps all lines of a product in one task. Beyond a bounded
-    number of lines the running sum is taken over range partitions of
-    (product, arrival), so a best seller spreads over many tasks.
+    The running sum is taken over range partitions of (product, arrival), so a
+    best seller spreads over many tasks.
 
     ``unique`` says that no two lines of a product share their arrival values.
     Otherwise equal rows are interchangeable, and any number of copies of a
     line is summed as one row and written out again afterwards.
     """
-    if use_single_task(strategy, items):
-        upto = Window.partitionBy("product_id").orderBy(*arrival).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        return items.withColumn("sold_upto", F.sum("quantity").over(upto))
     if unique:
         return grouped_running_sum(items, "product_id", arrival, "quantity", "sold_upto")
     copies = (
@@ -60,22 +51,35 @@ def running_sales(
 
 
 def _write_out_copies(summed: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per copy again, the copies of a line spread over tasks in chunks."""
+    """One row per copy again.
+
+    A line of up to one chunk of copies is written out where it lies; only
+    lines with more are sent chunk by chunk to other tasks.
+    """
     last_chunk = F.expr(f"(__copies - 1) div {COPIES_PER_CHUNK}")
-    chunks = summed.withColumn("__chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
-    spread = chunks.repartition(*columns, "__chunk")
-    first = F.col("__chunk") * COPIES_PER_CHUNK + 1
-    last = F.least((F.col("__chunk") + 1) * COPIES_PER_CHUNK, F.col("__copies"))
-    nth = spread.withColumn("__nth", F.explode(F.sequence(first, last)))
+    few = summed.filter(F.col("__copies") <= COPIES_PER_CHUNK).withColumn("__chunk", F.lit(0))
+    many = (
+        summed.filter(F.col("__copies") > COPIES_PER_CHUNK)
+        .withColumn("__chunk", F.explode(F.sequence(F.lit(0), last_chunk)))
+        .repartition(*columns, "__chunk")
+    )
     before = F.col("sold_upto") - F.col("__units")
-    return nth.select(*columns, (before + F.col("__nth") * F.col("quantity")).alias("sold_upto"))
+
+    def written(chunks: DataFrame) -> DataFrame:
+        first = F.col("__chunk") * COPIES_PER_CHUNK + 1
+        last = F.least((F.col("__chunk") + 1) * COPIES_PER_CHUNK, F.col("__copies"))
+        nth = chunks.withColumn("__nth", F.explode(F.sequence(first, last)))
+        return nth.select(
+            *columns, (before + F.col("__nth") * F.col("quantity")).alias("sold_upto")
+        )
+
+    return written(few).unionByName(written(many.withColumn("__chunk", F.col("__chunk").cast("int"))))
 
 
 def inventory_ledger(
     products: DataFrame,
     items: DataFrame,
     arrival: Sequence[str] = ARRIVAL,
-    strategy: str = "auto",
     unique: bool = True,
 ) -> DataFrame:
     """Stock after each line, and whether the line is the first to oversell."""
@@ -83,7 +87,7 @@ def inventory_ledger(
     stock = products.select("product_id", "stock_quantity")
     left = F.col("stock_quantity") - F.col("sold_upto")
     return (
-        running_sales(lines, arrival, strategy, unique)
+        running_sales(lines, arrival, unique)
         .join(stock, "product_id")
         .select(
             *lines.columns,
@@ -118,13 +122,23 @@ def sale_impact(products: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def apply_sales(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Products with the batch deducted; raises when any product would go below zero."""
+    """Products with the batch deducted; raises when any product would go below zero.
+
+    The joined stock is stored once: the check and the answer read the same
+    rows. The error names the first product and says how many are short.
+    """
     sold = items.groupBy("product_id").agg(F.sum("quantity").alias("__sold"))
     left = F.col("stock_quantity") - F.coalesce("__sold", F.lit(0))
-    joined = products.join(sold, "product_id", "left")
-    short = joined.filter(left < 0).select("product_id").limit(10).collect()
-    if short:
-        ids = ", ".join(str(r["product_id"]) for r in short)
-        raise InsufficientInventory(f"Insufficient inventory for product_id: {ids}")
+    joined = materialize(
+        products.join(sold, "product_id", "left").withColumn("__left", left), "stock-after"
+    )
+    short = joined.filter("__left < 0").agg(
+        F.count("*").alias("n"), F.min("product_id").alias("first")
+    ).first()
+    if short["n"]:
+        raise InsufficientInventory(
+            f"Insufficient inventory for product_id: {short['first']}"
+            f" (products short in all: {short['n']})"
+        )
     kind = products.schema["stock_quantity"].dataType
-    return joined.withColumn("stock_quantity", left.cast(kind)).select(*products.columns)
+    return joined.withColumn("stock_quantity", F.col("__left").cast(kind)).select(*products.columns)

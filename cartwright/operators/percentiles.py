@@ -2,50 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.operators.ranking import grouped_running_sum
-from cartwright.runtime import materialize
-
-
-def percentile_columns(value: str, wanted: dict[str, float]) -> list[Column]:
-    """Aggregates for a plain ``groupBy``: one value map per group in one task."""
-    return [F.percentile(value, p).alias(name) for name, p in wanted.items()]
+from cartwright.operators.ranking import PART, POS, ranged_copy
 
 
 def distributed_percentiles(
     df: DataFrame, group: str, value: str, wanted: dict[str, float]
 ) -> DataFrame:
-    """The same numbers when a group may hold any number of distinct values.
+    """Percentiles of groups that may hold any number of distinct values.
 
-    Equal values are counted before the shuffle. The counts are summed in
-    order over range partitions, and the two values around each wanted rank
-    are picked out by rank; no task ever holds a whole group.
+    Equal values are counted before the shuffle and cut into range partitions
+    of (group, value). The row counts of the partitions tell which of them hold
+    the two ranks around each percentile, and only those are searched, so no
+    task ever holds more of a group than one partition.
     """
-    counts = materialize(
+    counts = (
         df.filter(F.col(value).isNotNull())
-        .groupBy(group, value)
-        .agg(F.count("*").alias("__n")),
-        "value-counts",
+        .groupBy(F.col(group).alias("__g"), F.col(value).alias("__v"))
+        .agg(F.count("*").alias("__n"))
     )
-    totals = counts.groupBy(F.col(group).alias("__g")).agg(F.sum("__n").alias("__total"))
-    ranked = grouped_running_sum(counts, group, [value], "__n", "__upto").join(
-        totals, F.col(group).eqNullSafe(F.col("__g"))
+    ranged = ranged_copy(counts, ["__g", "__v"])
+    earlier = Window.partitionBy("__g").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    spans = ranged.groupBy("__g", PART).agg(F.sum("__n").alias("__rows")).withColumns(
+        {
+            "__first": F.coalesce(F.sum("__rows").over(earlier), F.lit(0)),
+            "__total": F.sum("__rows").over(Window.partitionBy("__g")),
+        }
     )
-    first = F.col("__upto") - F.col("__n")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank < F.col("__upto")), F.col(value)))
-
-    picks: list[Column] = []
-    for name, p in wanted.items():
-        place = F.lit(float(p)) * (F.col("__total") - 1)
-        picks += [at(F.floor(place)).alias(f"{name}__lo"), at(F.ceil(place)).alias(f"{name}__hi")]
-    picked = ranked.groupBy(group).agg(F.first("__total").alias("__total"), *picks)
-    result = [F.col(group)]
-    for name, p in wanted.items():
-        place = F.lit(float(p)) * (F.col("__total") - 1)
+    places = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in wanted.items()}
+    slots = [
+        F.struct(F.lit(f"{name}{end}").alias("slot"), rank(place).alias("rank"))
+        for name, place in places.items()
+        for end, rank in (("__lo", F.floor), ("__hi", F.ceil))
+    ]
+    searched = (
+        spans.withColumn("__s", F.explode(F.array(*slots)))
+        .filter("__s.rank >= __first AND __s.rank < __first + __rows")
+        .select(
+            F.col("__g").alias("__of"),
+            F.col(PART).alias("__in"),
+            "__total",
+            F.col("__s.slot").alias("__slot"),
+            (F.col("__s.rank") - F.col("__first")).alias("__rank"),
+        )
+    )
+    inside = Window.partitionBy("__g", PART).orderBy(POS).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    found = (
+        ranged.withColumn("__upto", F.sum("__n").over(inside))
+        .join(searched, F.col("__g").eqNullSafe(F.col("__of")) & (F.col(PART) == F.col("__in")))
+        .filter("__rank < __upto AND __rank >= __upto - __n")
+    )
+    picks = [
+        F.max(F.when(F.col("__slot") == f"{name}{end}", F.col("__v"))).alias(f"{name}{end}")
+        for name in wanted
+        for end in ("__lo", "__hi")
+    ]
+    picked = found.groupBy("__g").agg(F.max("__total").alias("__total"), *picks)
+    result = [F.col("__g").alias(group)]
+    for name, place in places.items():
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         result.append((low + (high - low) * (place - F.floor(place))).alias(name))
     return picked.select(*result)

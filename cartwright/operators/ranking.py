@@ -24,18 +24,18 @@ from pyspark.sql import functions as F
 
 from cartwright.runtime import materialize
 
-_PART = "__part"
-_POS = "__pos"
+PART = "__part"
+POS = "__pos"
 
 
-def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def ranged_copy(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Stored copy of ``df`` in range partitions, each row with its place in one."""
     placed = (
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .withColumn(_PART, F.spark_partition_id())
+        .withColumn(PART, F.spark_partition_id())
         .withColumn(
-            _POS, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+            POS, F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         )
     )
     return materialize(placed, "ranged")
@@ -44,18 +44,6 @@ def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------- ntile
 
 
-def ntile_window(
-    df: DataFrame, tiles: int, orders: dict[str, Sequence[Column]], key: str
-) -> DataFrame:
-    """NTILE columns by plain windows, for inputs that fit one task."""
-    return df.withColumns(
-        {
-            name: F.ntile(tiles).over(Window.orderBy(*columns, F.col(key)))
-            for name, columns in orders.items()
-        }
-    )
-
-
 def _tile_of(position: Column, total: Column, tiles: int) -> Column:
     """Tile (from 1) of a 0-based position: the first ``total % tiles`` get one row more."""
     small = F.floor(total / tiles)
@@ -98,23 +86,23 @@ def distributed_ntile(
         )
 
     entries = df.select(F.inline(F.array(*[entry(n) for n in range(len(orders))])))
-    ranged = _ranged(entries, ["order_no", *[slot for slot, _, _ in slots], "key"])
+    ranged = ranged_copy(entries, ["order_no", *[slot for slot, _, _ in slots], "key"])
 
-    before = Window.partitionBy("order_no").orderBy(_PART)
+    before = Window.partitionBy("order_no").orderBy(PART)
     shares = (
-        ranged.groupBy("order_no", _PART)
-        .agg(F.count("*").alias("rows"), F.min(_POS).alias("first_pos"))
+        ranged.groupBy("order_no", PART)
+        .agg(F.count("*").alias("rows"), F.min(POS).alias("first_pos"))
         .withColumn("offset", F.sum("rows").over(before) - F.col("rows") - F.col("first_pos"))
         .withColumn("total", F.sum("rows").over(Window.partitionBy("order_no")))
-        .select("order_no", _PART, "offset", "total")
+        .select("order_no", PART, "offset", "total")
     )
-    numbered = ranged.join(F.broadcast(shares), ["order_no", _PART]).withColumn(
-        "position", F.col(_POS) + F.col("offset")
+    numbered = ranged.join(F.broadcast(shares), ["order_no", PART]).withColumn(
+        "position", F.col(POS) + F.col("offset")
     )
     tile = _tile_of(F.col("position"), F.col("total"), tiles)
     previous = _tile_of(F.col("position") - 1, F.col("total"), tiles)
     starts = (
-        numbered.filter((F.col("position") > 0) & (tile != previous)).drop(_PART, _POS).collect()
+        numbered.filter((F.col("position") > 0) & (tile != previous)).drop(PART, POS).collect()
     )
 
     added = {}
@@ -135,21 +123,6 @@ def distributed_ntile(
 # --------------------------------------------------------------- running sums
 
 
-def running_share_window(
-    df: DataFrame, order: str, value: str, *, running: str, total: str, rank: str
-) -> DataFrame:
-    """Running sum by descending ``order``, grand total and dense rank, in one task."""
-    by_order = Window.orderBy(F.col(order).desc_nulls_first())
-    up_to_peers = by_order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns(
-        {
-            running: F.sum(value).over(up_to_peers),
-            total: F.sum(value).over(Window.partitionBy()),
-            rank: F.dense_rank().over(by_order),
-        }
-    )
-
-
 def distributed_running_sum(
     df: DataFrame, order: str, value: str, *, running: str, total: str, rank: str
 ) -> DataFrame:
@@ -166,10 +139,10 @@ def distributed_running_sum(
         "__null": F.when(F.col("__level").isNull(), 0).otherwise(1),
         "__desc": -F.col("__level"),
     })
-    ranged = _ranged(levels, ["__null", "__desc"])
-    before = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    ranged = ranged_copy(levels, ["__null", "__desc"])
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     shares = (
-        ranged.groupBy(_PART)
+        ranged.groupBy(PART)
         .agg(F.sum("__sum").alias("part_sum"), F.count("*").alias("part_rows"))
         .withColumns(
             {
@@ -178,19 +151,19 @@ def distributed_running_sum(
                 "grand_total": F.sum("part_sum").over(Window.partitionBy()),
             }
         )
-        .select(_PART, "sum_before", "rows_before", "grand_total")
+        .select(PART, "sum_before", "rows_before", "grand_total")
     )
-    inside = Window.partitionBy(_PART).orderBy(_POS).rowsBetween(
+    inside = Window.partitionBy(PART).orderBy(POS).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     placed = (
         ranged.withColumn("sum_inside", F.sum("__sum").over(inside))
-        .join(F.broadcast(shares), _PART)
+        .join(F.broadcast(shares), PART)
         .select(
             "__level",
             (F.col("sum_before") + F.col("sum_inside")).alias(running),
             F.col("grand_total").alias(total),
-            (F.col("rows_before") + F.col(_POS) + 1).cast("int").alias(rank),
+            (F.col("rows_before") + F.col(POS) + 1).cast("int").alias(rank),
         )
     )
     return df.join(placed, F.col(order).eqNullSafe(F.col("__level"))).drop("__level")
@@ -205,25 +178,25 @@ def grouped_running_sum(
     covers a third of the partitions. A partition border crosses at most one
     group, hence at most one carried row per range partition is broadcast.
     """
-    ranged = _ranged(df, [group, *order])
-    parts = ranged.groupBy(group, _PART).agg(F.sum(value).alias("__part_sum"))
-    earlier = Window.partitionBy(group).orderBy(_PART).rowsBetween(
+    ranged = ranged_copy(df, [group, *order])
+    parts = ranged.groupBy(group, PART).agg(F.sum(value).alias("__part_sum"))
+    earlier = Window.partitionBy(group).orderBy(PART).rowsBetween(
         Window.unboundedPreceding, -1
     )
     carried = (
         parts.withColumn("__carried", F.sum("__part_sum").over(earlier))
         .filter(F.col("__carried").isNotNull())
-        .select(F.col(group).alias("__group"), F.col(_PART).alias("__to"), "__carried")
+        .select(F.col(group).alias("__group"), F.col(PART).alias("__to"), "__carried")
     )
-    inside = Window.partitionBy(group, _PART).orderBy(_POS).rowsBetween(
+    inside = Window.partitionBy(group, PART).orderBy(POS).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     summed = ranged.withColumn("__inside", F.sum(value).over(inside))
     joined = summed.join(
         F.broadcast(carried),
-        F.col(group).eqNullSafe(F.col("__group")) & (F.col(_PART) == F.col("__to")),
+        F.col(group).eqNullSafe(F.col("__group")) & (F.col(PART) == F.col("__to")),
         "left",
     )
     return joined.withColumn(
         out, F.col("__inside") + F.coalesce(F.col("__carried"), F.lit(0))
-    ).drop("__group", "__to", "__carried", "__inside", _PART, _POS)
+    ).drop("__group", "__to", "__carried", "__inside", PART, POS)

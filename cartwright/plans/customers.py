@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import join_text, not_cancelled, pct, ratio, whole_days
 from cartwright.functions import labels as L
-from cartwright.operators.ranking import distributed_ntile, ntile_window
-from cartwright.runtime import materialize, use_single_task
+from cartwright.operators.ranking import distributed_ntile
+from cartwright.runtime import materialize
 
 
 def _purchases(orders: DataFrame) -> DataFrame:
@@ -25,37 +25,12 @@ def _purchases(orders: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(
-    measured: DataFrame,
-    n_tiles: int,
-    orders: dict[str, list[Column]],
-    customers: DataFrame,
-    strategy: str,
-) -> DataFrame:
+def _tiles(measured: DataFrame, n_tiles: int, orders: dict[str, list[Column]]) -> DataFrame:
     """Add NTILE columns; ``measured`` has at most one row per customer."""
-    if use_single_task(strategy, customers):
-        return ntile_window(measured, n_tiles, orders, "customer_id")
     return distributed_ntile(materialize(measured, "rfm"), n_tiles, orders, "customer_id")
 
 
-def segment_name(r: Column, f: Column, m: Column) -> Column:
-    """First rule that holds names the segment."""
-    rules = [
-        (L.CHAMPIONS, (r >= 4) & (f >= 4) & (m >= 4)),
-        (L.LOYAL, (r >= 3) & (f >= 3) & (m >= 3)),
-        (L.RECENT, (r >= 4) & f.between(1, 2)),
-        (L.BIG_SPENDERS, (r >= 3) & (f >= 1) & (m >= 4)),
-        (L.NEED_ATTENTION, r.between(2, 3) & (f >= 3)),
-        (L.AT_RISK, (r <= 2) & (f >= 3) & (m >= 3)),
-        (L.HIBERNATING, (r <= 2) & (f <= 2) & (m >= 3)),
-        (L.LOST, (r <= 2) & (f <= 2) & (m <= 2)),
-    ]
-    return F.coalesce(*[F.when(rule, name) for name, rule in rules], F.lit(L.STANDARD))
-
-
-def rfm_scores(
-    customers: DataFrame, orders: DataFrame, n_tiles: int = 5, strategy: str = "auto"
-) -> DataFrame:
+def rfm_scores(customers: DataFrame, orders: DataFrame, n_tiles: int = 5) -> DataFrame:
     """Scores and segment of every customer with a non-cancelled order.
 
     Recency counts whole days up to the newest order of any status. Scores
@@ -81,11 +56,10 @@ def rfm_scores(
             "f_score": [F.col("frequency")],
             "m_score": [F.col("monetary_value")],
         },
-        customers,
-        strategy,
     )
-    r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
-    return scored.select(
+    named = scored.withColumnsRenamed({"r_score": "r", "f_score": "f", "m_score": "m"})
+    r, f, m = F.col("r"), F.col("f"), F.col("m")
+    return named.select(
         "customer_id",
         "customer_name",
         "email",
@@ -93,12 +67,12 @@ def rfm_scores(
         "recency_days",
         "frequency",
         "monetary_value",
-        "r_score",
-        "f_score",
-        "m_score",
+        r.alias("r_score"),
+        f.alias("f_score"),
+        m.alias("m_score"),
         join_text(r, f, m).alias("rfm_combined"),
         F.round((r + f + m).cast("double") / 3.0, 2).alias("rfm_avg"),
-        segment_name(r, f, m).alias("customer_segment"),
+        F.expr(L.segment_case()).alias("customer_segment"),
     )
 
 
@@ -162,11 +136,7 @@ def revenue_at_risk(segments: DataFrame) -> DataFrame:
 
 
 def rfm_score_cells(
-    customers: DataFrame,
-    orders: DataFrame,
-    as_of: datetime.date,
-    n: int = 15,
-    strategy: str = "auto",
+    customers: DataFrame, orders: DataFrame, as_of: datetime.date, n: int = 15
 ) -> DataFrame:
     """Customers and average spend per score cell, over all customers.
 
@@ -193,8 +163,6 @@ def rfm_score_cells(
             "f_score": [-F.col("frequency")],
             "m_score": [-F.col("monetary_value")],
         },
-        customers,
-        strategy,
     )
     return (
         scored.groupBy("r_score", "f_score", "m_score")

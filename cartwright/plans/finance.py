@@ -16,6 +16,14 @@ def line_totals(items: DataFrame) -> DataFrame:
     )
 
 
+_AMOUNTS = {
+    "subtotal_amount": "gross_merchandise_value",
+    "discount_amount": "total_discounts",
+    "shipping_fee": "total_shipping_revenue",
+    "total_amount": "net_revenue",
+}
+
+
 def _monthly_sums(orders: DataFrame, items: DataFrame, *, per_line: bool) -> DataFrame:
     """Sums per month over non-cancelled orders that have lines.
 
@@ -24,7 +32,7 @@ def _monthly_sums(orders: DataFrame, items: DataFrame, *, per_line: bool) -> Dat
     ``per_line`` that is reproduced as ``amount * n_lines`` on one row per
     order; without it each order counts once. Either way the join is one to
     one, and order ids being unique turns the distinct order count into a
-    plain count.
+    plain count. Amounts are summed as whole cents.
     """
     weight = F.col("n_lines") if per_line else F.lit(1)
     sold = (
@@ -33,21 +41,15 @@ def _monthly_sums(orders: DataFrame, items: DataFrame, *, per_line: bool) -> Dat
             "order_id",
             "customer_id",
             month_start(F.col("order_date")).alias("sales_month"),
-            "subtotal_amount",
-            "discount_amount",
-            "shipping_fee",
-            "total_amount",
+            *[cents(orders, c).alias(c) for c in _AMOUNTS],
         )
         .join(line_totals(items), "order_id")
     )
     return sold.groupBy("sales_month").agg(
         F.count("*").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_buyers"),
-        F.sum(F.col("subtotal_amount") * weight).alias("gross_merchandise_value"),
-        F.sum(F.col("discount_amount") * weight).alias("total_discounts"),
-        F.sum(F.col("shipping_fee") * weight).alias("total_shipping_revenue"),
-        F.sum(F.col("total_amount") * weight).alias("net_revenue"),
-        F.sum(amount(F.col("cogs_cents"))).alias("total_cogs"),
+        *[amount(F.sum(F.col(c) * weight)).alias(name) for c, name in _AMOUNTS.items()],
+        amount(F.sum("cogs_cents")).alias("total_cogs"),
     ).withColumn("gross_profit", F.col("net_revenue") - F.col("total_cogs"))
 
 

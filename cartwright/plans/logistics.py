@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from cartwright.functions import amount, cents, interval_micros, moment, pct, pct_of_cents, ratio
 from cartwright.functions import labels as L
 from cartwright.functions.dates import MICROS_PER_DAY
-from cartwright.operators.percentiles import distributed_percentiles, percentile_columns
-from cartwright.runtime import use_single_task
+from cartwright.operators.percentiles import distributed_percentiles
 
 _PERCENTILES = {"median_delivery_days": 0.50, "p90_delivery_days": 0.90}
 
@@ -23,13 +22,8 @@ def _deliveries(orders: DataFrame) -> DataFrame:
     ).withColumns({"transit_micros": micros, "transit_days": micros / float(MICROS_PER_DAY)})
 
 
-def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: bool) -> DataFrame:
-    """Delivery statistics per ``group``.
-
-    An exact percentile aggregate keeps one map of distinct values per group
-    in one task. That is fine for a bounded number of deliveries; beyond it the
-    percentiles come from range-partitioned value counts.
-    """
+def _sla(deliveries: DataFrame, group: str, sla_days: float) -> DataFrame:
+    """Delivery statistics per ``group``; percentiles come from range-partitioned value counts."""
     sums = [
         F.count("order_id").alias("total_deliveries"),
         F.sum(F.col("transit_micros").cast("decimal(20,0)")).alias("__micros"),
@@ -39,15 +33,11 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
         F.sum("shipping_fee").alias("__fees"),
         F.count("shipping_fee").alias("__fee_rows"),
     ]
-    grouped = deliveries.groupBy(group)
-    if single_task:
-        stats = grouped.agg(*sums, *percentile_columns("transit_days", _PERCENTILES))
-    else:
-        ranks = distributed_percentiles(deliveries, group, "transit_days", _PERCENTILES)
-        ranks = ranks.withColumnRenamed(group, "__group")
-        stats = grouped.agg(*sums).join(
-            ranks, F.col(group).eqNullSafe(F.col("__group"))
-        ).drop("__group")
+    ranks = distributed_percentiles(deliveries, group, "transit_days", _PERCENTILES)
+    ranks = ranks.withColumnRenamed(group, "__group")
+    stats = deliveries.groupBy(group).agg(*sums).join(
+        ranks, F.col(group).eqNullSafe(F.col("__group"))
+    ).drop("__group")
     return stats.select(
         group,
         "total_deliveries",
@@ -65,33 +55,19 @@ def _sla(deliveries: DataFrame, group: str, sla_days: float, *, single_task: boo
     )
 
 
-def delivery_sla_by_state(
-    orders: DataFrame,
-    sla_days: float = 4,
-    min_n: int = 20,
-    strategy: str = "auto",
-    bounded_by: DataFrame | None = None,
-) -> DataFrame:
-    """Delivery times per state with at least ``min_n`` deliveries, fastest first.
-
-    When ``orders`` is itself a join, pass the stored table behind it as
-    ``bounded_by``, so that checking its size does not run the join.
-    """
-    single = use_single_task(strategy, orders if bounded_by is None else bounded_by)
+def delivery_sla_by_state(orders: DataFrame, sla_days: float = 4, min_n: int = 20) -> DataFrame:
+    """Delivery times per state with at least ``min_n`` deliveries, fastest first."""
     return (
-        _sla(_deliveries(orders), "shipping_state", sla_days, single_task=single)
+        _sla(_deliveries(orders), "shipping_state", sla_days)
         .filter(F.col("total_deliveries") >= min_n)
         .orderBy(F.col("avg_delivery_days").asc_nulls_last(), "shipping_state")
     )
 
 
-def delivery_sla_national(
-    orders: DataFrame, sla_days: float = 4, strategy: str = "auto"
-) -> DataFrame:
+def delivery_sla_national(orders: DataFrame, sla_days: float = 4) -> DataFrame:
     """The same statistics over all deliveries."""
-    single = use_single_task(strategy, orders)
     everywhere = _deliveries(orders).withColumn("region", F.lit("national"))
-    return _sla(everywhere, "region", sla_days, single_task=single)
+    return _sla(everywhere, "region", sla_days)
 
 
 def order_status_pipeline(orders: DataFrame) -> DataFrame:

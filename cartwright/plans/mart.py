@@ -1,17 +1,19 @@
 """The monthly mart on disk: build, switch versions, refresh touched months.
 
-A refresh writes a complete new version next to the old ones and then appends
-one row to ``published``. Readers look up the newest published version, so they
-see the old mart or the new one and never a mixture, and a version they are
-reading stays in place. One job at a time may publish. The mart holds one row per calendar month, so writing
-it whole is cheap even when only one month changed.
+A refresh writes a complete new version aside, claims the next version number
+with a file that only one job can create, and moves the version into place.
+Readers take the newest version in place, so they see the old mart or the new
+one and never a mixture. Of two jobs that started from the same version one
+publishes and the other is told to start again. The mart holds one row per
+calendar month, so writing it whole is cheap even when only one month changed.
 """
 
 from __future__ import annotations
 
 import datetime
+import uuid
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,20 +21,32 @@ from cartwright.functions import month_start
 from cartwright.plans.finance import monthly_mart
 
 
+class ConcurrentRefresh(RuntimeError):
+    """Another job published first; nothing of this refresh is visible."""
+
+
 def write_mart(mart: DataFrame, path: str) -> None:
     """Store a mart, replacing what is at ``path``. One row per month: one file."""
-    mart.coalesce(1).write.mode("overwrite").parquet(path)
+    mart.repartition(1).write.mode("overwrite").parquet(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The store of ``path`` and its path type."""
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return new_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new_path
+
+
+def _numbers(spark: SparkSession, root: str, prefix: str) -> list[int]:
+    store, new_path = _files(spark, root)
+    if not store.exists(new_path(root)):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(new_path(root))]
+    return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Newest published version, or None before the first one."""
-    try:
-        published = spark.read.schema("version BIGINT").parquet(f"{root}/published")
-    except AnalysisException as missing:
-        if missing.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return published.agg(F.max("version")).first()[0]
+    return max(_numbers(spark, root, "version="), default=None)
 
 
 def read_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -47,24 +61,47 @@ def _version_path(root: str, version: int) -> str:
     return f"{root}/version={version}"
 
 
-def publish(spark: SparkSession, mart: DataFrame, root: str) -> int:
-    """Write ``mart`` as the next version, check it, and switch readers to it."""
-    version = (current_version(spark, root) or 0) + 1
-    path = _version_path(root, version)
-    write_mart(mart, path)
-    months = spark.read.parquet(path).groupBy("sales_month").count()
+def _claim(spark: SparkSession, root: str, version: int) -> bool:
+    """Take a version number; only one job gets it."""
+    store, new_path = _files(spark, root)
+    try:
+        store.create(new_path(f"{root}/claim={version}"), False).close()
+    except Py4JJavaError as refused:
+        if "FileAlreadyExists" in refused.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def publish(spark: SparkSession, mart: DataFrame, root: str, base: int | None = None) -> int:
+    """Write ``mart`` as the next version, check it, and switch readers to it.
+
+    ``base`` is the version that the mart was made from (by default the newest
+    one now). A number that was claimed by a job that died is skipped.
+    """
+    if base is None:
+        base = current_version(spark, root) or 0
+    aside = f"{root}/_aside-{uuid.uuid4().hex}"
+    write_mart(mart, aside)
+    months = spark.read.parquet(aside).groupBy("sales_month").count()
     repeated = months.filter(F.col("count") > 1)
+    store, new_path = _files(spark, root)
     if not repeated.isEmpty():
+        store.delete(new_path(aside), True)
         raise ValueError("the mart holds a month twice; the version was not published")
-    spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(
-        1
-    ).write.mode("append").parquet(f"{root}/published")
+    version = max([base, *_numbers(spark, root, "claim=")]) + 1
+    claimed = _claim(spark, root, version)
+    if not claimed or (current_version(spark, root) or 0) != base:
+        store.delete(new_path(aside), True)
+        raise ConcurrentRefresh(f"version {base} is no longer the newest at {root}")
+    store.rename(new_path(aside), new_path(_version_path(root, version)))
     return version
 
 
 def publish_mart(spark: SparkSession, orders: DataFrame, items: DataFrame, root: str) -> int:
     """Rebuild the whole mart and switch readers to it."""
-    return publish(spark, monthly_mart(orders, items), root)
+    base = current_version(spark, root) or 0
+    return publish(spark, monthly_mart(orders, items), root, base)
 
 
 refresh_mart = publish_mart
@@ -104,6 +141,10 @@ def refresh_mart_incremental(
     )
     # Lines of other months are dropped before they are summed per order.
     lines = items.join(affected.select("order_id"), "order_id", "left_semi")
-    kept = read_mart(spark, root).filter(~F.col("sales_month").isin(touched))
-    publish(spark, kept.unionByName(monthly_mart(affected, lines)), root)
+    base = current_version(spark, root)
+    if base is None:
+        raise FileNotFoundError(f"no mart was published at {root}")
+    stored = spark.read.parquet(_version_path(root, base))
+    kept = stored.filter(~F.col("sales_month").isin(touched))
+    publish(spark, kept.unionByName(monthly_mart(affected, lines)), root, base)
     return sorted(touched)

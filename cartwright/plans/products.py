@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import labels as L
 from cartwright.functions import amount, cents, not_cancelled, pct
-from cartwright.operators.ranking import distributed_running_sum, running_share_window
-from cartwright.runtime import materialize, use_single_task
+from cartwright.operators.ranking import distributed_running_sum
+from cartwright.runtime import materialize
 
 
 def product_sales(
@@ -47,24 +47,17 @@ def product_sales(
     )
 
 
-def _with_running_share(sales: DataFrame, products: DataFrame, strategy: str) -> DataFrame:
+def _with_running_share(sales: DataFrame) -> DataFrame:
     names = {"running": "cumulative_revenue", "total": "overall_revenue", "rank": "revenue_rank"}
-    if use_single_task(strategy, products):
-        ranked = running_share_window(sales, "total_revenue", "total_revenue", **names)
-    else:
-        stored = materialize(sales, "product-sales")
-        ranked = distributed_running_sum(stored, "total_revenue", "total_revenue", **names)
+    stored = materialize(sales, "product-sales")
+    ranked = distributed_running_sum(stored, "total_revenue", "total_revenue", **names)
     return ranked.withColumn(
         "cumulative_revenue_pct", pct(F.col("cumulative_revenue"), F.col("overall_revenue"))
     )
 
 
 def product_pareto(
-    products: DataFrame,
-    categories: DataFrame,
-    items: DataFrame,
-    orders: DataFrame,
-    strategy: str = "auto",
+    products: DataFrame, categories: DataFrame, items: DataFrame, orders: DataFrame
 ) -> DataFrame:
     """Products by revenue with running share, rank and tier; equals share a rank."""
     share = F.col("cumulative_revenue_pct")
@@ -75,7 +68,7 @@ def product_pareto(
     )
     sales = product_sales(products, categories, items, orders)
     return (
-        _with_running_share(sales, products, strategy)
+        _with_running_share(sales)
         .select(
             "revenue_rank",
             "product_id",
@@ -119,12 +112,11 @@ def pareto_top(
     items: DataFrame,
     orders: DataFrame,
     n: int = 10,
-    strategy: str = "auto",
 ) -> DataFrame:
     """The ``n`` products with the most revenue and their running share."""
     sales = product_sales(products, categories, items, orders)
     return (
-        _with_running_share(sales, products, strategy)
+        _with_running_share(sales)
         .orderBy(F.col("total_revenue").desc_nulls_first(), "product_id")
         .select(
             "product_id",

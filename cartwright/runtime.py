@@ -1,4 +1,4 @@
-"""Where intermediate tables live, and when one task is enough.
+"""Where intermediate tables live.
 
 Some jobs must read an intermediate result more than once and need it to be
 the same each time (a sampled range partitioning, for example). They write it
@@ -12,11 +12,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A global window or a per-group value map runs in one task. That is the
-# faster plan for small inputs and is used only when a count shows that the
-# input has at most this many rows; larger inputs take the distributed form.
-SINGLE_TASK_ROWS = 500_000
-
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables of this application.
@@ -45,23 +40,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def fits_one_task(df: DataFrame, limit: int = SINGLE_TASK_ROWS) -> bool:
-    """True when a count proves that ``df`` has at most ``limit`` rows.
-
-    Call it on a stored table: Parquet answers the count from its footers.
-    """
-    return df.count() <= limit
-
-
-def use_single_task(strategy: str, bounded_by: DataFrame, limit: int | None = None) -> bool:
-    """Resolve a ``strategy`` argument: ``single``, ``distributed`` or ``auto``.
-
-    ``bounded_by`` is a table with at least as many rows as the frame at hand.
-    """
-    if strategy == "auto":
-        return fits_one_task(bounded_by, SINGLE_TASK_ROWS if limit is None else limit)
-    if strategy not in ("single", "distributed"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return strategy == "single"

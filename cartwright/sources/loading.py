@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.operators.constraints import (
     REASONS,
     Unique,
     flag_violations,
     row_rules,
-    split,
     table_rules,
 )
 from cartwright.plans.mart import publish_mart
-from cartwright.runtime import materialize
 from cartwright.sources import schemas as S
 from cartwright.sources.csv_files import load_csv
 
@@ -23,15 +23,34 @@ LOAD_ORDER = [
 ]
 
 
+ACCEPTED = "accepted"
+
+
+def _stored(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
+    kept = [*schema.fields, T.StructField(REASONS, T.ArrayType(T.StringType()))]
+    known = T.StructType([*kept, T.StructField(ACCEPTED, T.BooleanType())])
+    return spark.read.schema(known).parquet(f"{out_dir}/{table}")
+
+
+def read_table(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
+    """The accepted rows of a loaded table; files of rejected rows are not read."""
+    return _stored(spark, out_dir, table, schema).filter(ACCEPTED).drop(ACCEPTED, REASONS)
+
+
+def read_rejected(spark: SparkSession, out_dir: str, table: str, schema: T.StructType) -> DataFrame:
+    """The rejected rows of a loaded table with their reasons."""
+    return _stored(spark, out_dir, table, schema).filter(~F.col(ACCEPTED)).drop(ACCEPTED)
+
+
 def load_tables(
     spark: SparkSession, csv_dir: str, out_dir: str, *, check_references: bool = False
 ) -> dict[str, DataFrame]:
     """Load the seven CSV tables into ``out_dir`` and build the mart.
 
-    Each table is flagged once, stored, and split into ``<table>`` and
-    ``rejected/<table>`` (rejected rows carry their reasons). As in the bulk
-    load this replaces, references are not checked unless asked for; the
-    data-quality checks find orphans afterwards.
+    Each table is flagged and written once, partitioned by whether a row was
+    accepted; rejected rows carry their reasons. A second load replaces the
+    first. As in the bulk load this replaces, references are not checked unless
+    asked for; the data-quality checks find orphans afterwards.
     """
     tables: dict[str, DataFrame] = {}
     for table in LOAD_ORDER:
@@ -42,9 +61,8 @@ def load_tables(
             if check_references
             else [*row_rules(table), *[Unique((c,)) for c in S.UNIQUE_KEYS[table]]]
         )
-        valid, rejected = split(materialize(flag_violations(rows, rules), f"load-{table}"))
-        valid.write.parquet(f"{out_dir}/{table}")
-        rejected.select(*rows.columns, REASONS).write.parquet(f"{out_dir}/rejected/{table}")
-        tables[table] = spark.read.schema(rows.schema).parquet(f"{out_dir}/{table}")
+        flagged = flag_violations(rows, rules).withColumn(ACCEPTED, F.size(REASONS) == 0)
+        flagged.write.mode("overwrite").partitionBy(ACCEPTED).parquet(f"{out_dir}/{table}")
+        tables[table] = read_table(spark, out_dir, table, rows.schema)
     publish_mart(spark, tables["orders"], tables["order_items"], f"{out_dir}/mart")
     return tables

@@ -17,9 +17,10 @@ def _table(*columns: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in columns])
 
 
+# fixed values: columns of the seven tables and their types; ids have 64 bits
 SCHEMAS: dict[str, T.StructType] = {
     "customers": _table(
-        ("customer_id", T.IntegerType()),
+        ("customer_id", T.LongType()),
         ("first_name", T.StringType()),
         ("last_name", T.StringType()),
         ("email", T.StringType()),
@@ -32,14 +33,14 @@ SCHEMAS: dict[str, T.StructType] = {
         ("created_at", T.TimestampType()),
     ),
     "categories": _table(
-        ("category_id", T.IntegerType()),
+        ("category_id", T.LongType()),
         ("category_name", T.StringType()),
-        ("parent_category_id", T.IntegerType()),
+        ("parent_category_id", T.LongType()),
         ("description", T.StringType()),
     ),
     "products": _table(
-        ("product_id", T.IntegerType()),
-        ("category_id", T.IntegerType()),
+        ("product_id", T.LongType()),
+        ("category_id", T.LongType()),
         ("product_name", T.StringType()),
         ("sku", T.StringType()),
         ("cost_price", MONEY),
@@ -49,8 +50,8 @@ SCHEMAS: dict[str, T.StructType] = {
         ("created_at", T.TimestampType()),
     ),
     "orders": _table(
-        ("order_id", T.IntegerType()),
-        ("customer_id", T.IntegerType()),
+        ("order_id", T.LongType()),
+        ("customer_id", T.LongType()),
         ("order_date", T.TimestampType()),
         ("order_status", T.StringType()),
         ("subtotal_amount", MONEY),
@@ -63,17 +64,17 @@ SCHEMAS: dict[str, T.StructType] = {
         ("delivery_date", T.TimestampType()),
     ),
     "order_items": _table(
-        ("order_item_id", T.IntegerType()),
-        ("order_id", T.IntegerType()),
-        ("product_id", T.IntegerType()),
+        ("order_item_id", T.LongType()),
+        ("order_id", T.LongType()),
+        ("product_id", T.LongType()),
         ("quantity", T.IntegerType()),
         ("unit_price", MONEY),
         ("cost_price", MONEY),
         ("item_discount", MONEY),
     ),
     "payments": _table(
-        ("payment_id", T.IntegerType()),
-        ("order_id", T.IntegerType()),
+        ("payment_id", T.LongType()),
+        ("order_id", T.LongType()),
         ("payment_method", T.StringType()),
         ("payment_status", T.StringType()),
         ("amount", MONEY),
@@ -81,10 +82,10 @@ SCHEMAS: dict[str, T.StructType] = {
         ("gateway_transaction_id", T.StringType()),
     ),
     "reviews": _table(
-        ("review_id", T.IntegerType()),
-        ("customer_id", T.IntegerType()),
-        ("product_id", T.IntegerType()),
-        ("order_id", T.IntegerType()),
+        ("review_id", T.LongType()),
+        ("customer_id", T.LongType()),
+        ("product_id", T.LongType()),
+        ("order_id", T.LongType()),
         ("rating", T.ShortType()),
         ("review_title", T.StringType()),
         ("review_text", T.StringType()),

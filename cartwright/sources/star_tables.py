@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# fixed values: product types of the test data, in category-id order from 1
-CATEGORY_NAMES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-
 # fixed values: columns of the test files that the views read
 FILE_SCHEMAS = {
     "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_mktsegment STRING",
@@ -131,12 +128,10 @@ class StarTables:
         )
 
     def products(self) -> DataFrame:
-        category = " ".join(
-            f"WHEN '{name}' THEN {i}" for i, name in enumerate(CATEGORY_NAMES, start=1)
-        )
-        return self.raw("part").selectExpr(
+        named = self.categories().withColumnRenamed("category_name", "p_type")
+        return self.raw("part").join(named, "p_type", "left").selectExpr(
             "p_partkey AS product_id",
-            f"CASE p_type {category} END AS category_id",
+            "category_id",
             "p_name AS product_name",
             "concat('PROD-', p_partkey) AS sku",
             "CAST(CAST(CAST(p_retailprice AS DECIMAL(12,2)) * 100 AS BIGINT) "
@@ -147,14 +142,11 @@ class StarTables:
         )
 
     def categories(self) -> DataFrame:
-        number = " ".join(
-            f"WHEN '{name}' THEN {i}" for i, name in enumerate(CATEGORY_NAMES, start=1)
-        )
-        return (
-            self.raw("part")
-            .select("p_type")
-            .distinct()
-            .selectExpr(f"CASE p_type {number} END AS category_id", "p_type AS category_name")
+        """Product types, numbered by name; the window runs over one row per type."""
+        types = self.raw("part").select("p_type").dropna().distinct()
+        return types.selectExpr(
+            "CAST(row_number() OVER (ORDER BY p_type) AS BIGINT) AS category_id",
+            "p_type AS category_name",
         )
 
     def customers(self, *, with_state: bool = False) -> DataFrame:
@@ -186,16 +178,18 @@ class StarTables:
         )
 
     def reviews(self) -> DataFrame:
+        # Reviews go round all products.
+        products = self.raw("part").agg(F.max("p_partkey") + 1).scalar()
         return (
             self.raw("events")
             .filter("event_type = 'purchase'")
-            .selectExpr(
-                "event_id AS review_id",
-                "user_id AS customer_id",
-                "event_id % 200 AS product_id",
-                "event_id AS order_id",
-                "CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS SMALLINT) AS rating",
-                "ts AS created_at",
+            .select(
+                F.col("event_id").alias("review_id"),
+                F.col("user_id").alias("customer_id"),
+                (F.col("event_id") % products).alias("product_id"),
+                F.col("event_id").alias("order_id"),
+                F.expr("CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS SMALLINT)").alias("rating"),
+                F.col("ts").alias("created_at"),
             )
         )
 

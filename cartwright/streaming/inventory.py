@@ -71,7 +71,6 @@ def inventory_stream(
     checkpoint: str,
     *,
     arrival: Sequence[str] = ARRIVAL,
-    strategy: str = "auto",
     unique: bool = True,
     **trigger,
 ) -> StreamingQuery:
@@ -95,6 +94,7 @@ def inventory_stream(
         before = _sold_before(spark, sink, batch_id, per_product.schema)
         stock = (
             products.select("product_id", "stock_quantity")
+            .join(per_product.select("product_id"), "product_id", "left_semi")
             .join(before, "product_id", "left")
             .select(
                 "product_id",
@@ -102,7 +102,7 @@ def inventory_stream(
             )
         )
         left = F.col("opening") - F.col("sold_upto")
-        ledger = running_sales(rows, arrival, strategy, unique).join(stock, "product_id").select(
+        ledger = running_sales(rows, arrival, unique).join(stock, "product_id").select(
             *columns,
             left.alias("stock_after"),
             (left < 0).alias("oversold"),

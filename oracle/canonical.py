@@ -38,8 +38,7 @@ VIEWS = {
                 FROM lineitem) a) c""",
     "p": """
     SELECT p_partkey AS product_id,
-           CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3
-                       WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END
+           CASE WHEN p_type IS NOT NULL THEN dense_rank() OVER (ORDER BY p_type NULLS LAST) END
                AS category_id,
            p_type AS category_name, p_name AS product_name,
            'PROD-' || CAST(p_partkey AS VARCHAR) AS sku,
@@ -68,7 +67,8 @@ VIEWS = {
            'TXN-' || CAST(order_id AS VARCHAR) AS gateway_transaction_id
     FROM o""",
     "r": """
-    SELECT event_id AS review_id, user_id AS customer_id, event_id % 200 AS product_id,
+    SELECT event_id AS review_id, user_id AS customer_id, 
+           event_id % (SELECT max(p_partkey) + 1 FROM part) AS product_id,
            event_id AS order_id, CAST(1 + CAST(floor(value) AS BIGINT) % 5 AS SMALLINT) AS rating,
            ts AS created_at
     FROM events WHERE event_type = 'purchase'""",

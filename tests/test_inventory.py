@@ -1,9 +1,10 @@
-"""Ledger, batches, streams and substring search; behaviour under skew."""
+"""Ledger, batches and streams; behaviour under skew."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartwright.operators import inventory, search
+from cartwright.operators import inventory
 from cartwright.plans import mart, products
 from cartwright.runtime import fresh_path
 from cartwright.sources.schemas import SCHEMAS
@@ -36,10 +37,9 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("strategy", ["single", "distributed"])
-def test_ledger_flags_the_first_oversell(spark, strategy):
+def test_ledger_flags_the_first_oversell(spark):
     ledger = inventory.inventory_ledger(
-        _goods(spark), _lines(spark, 2, 3, 9, 1, 1), strategy=strategy
+        _goods(spark), _lines(spark, 2, 3, 9, 1, 1)
     ).orderBy("order_item_id")
     got = [(r.stock_after, r.oversold, r.first_oversell) for r in ledger.collect()]
     assert got == [
@@ -57,12 +57,17 @@ def test_copies_of_a_line(spark, monkeypatch):
         F.lit(2).alias("quantity"),
     )
     goods = frame(spark, "products", *[dict(product_id=i, stock_quantity=90) for i in (0, 1)])
-    single, spread = (
-        inventory.inventory_ledger(goods, lines, ("at",), strategy, unique=False)
-        for strategy in ("single", "distributed")
+    spread = inventory.inventory_ledger(goods, lines, ("at",), unique=False)
+    upto = Window.partitionBy("product_id").orderBy("at").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    assert spread.columns == single.columns
-    assert _rows(spread) == _rows(single)
+    left = 90 - F.sum("quantity").over(upto)
+    plain = lines.withColumn("stock_after", left).select(
+        *spread.columns[:-2],
+        (F.col("stock_after") < 0).alias("oversold"),
+        ((F.col("stock_after") < 0) & (F.col("stock_after") + 2 >= 0)).alias("first_oversell"),
+    )
+    assert _rows(spread) == _rows(plain)
     assert spread.filter("first_oversell").count() == 2
 
 
@@ -117,20 +122,6 @@ def test_monthly_stream_equals_batch(spark):
     assert _rows(mart.read_mart(spark, root)) == _rows(monthly_totals(orders))
 
 
-@pytest.mark.parametrize("needle", ["wire", "WIRE", "ess M", "zz", "e", "", "s m", "less  "])
-def test_index_search_equals_plain_search(spark, needle):
-    names = ["Wireless Mouse", "Wired mouse", "Tireless Mop", "Zz", "less  gap", None]
-    goods = frame(
-        spark,
-        "products",
-        *[dict(product_id=n, product_name=name) for n, name in enumerate(names)],
-    )
-    path = fresh_path(spark, "trigrams")
-    search.write_trigram_index(goods, path)
-    found = search.trigram_search(goods, spark.read.parquet(path), needle)
-    assert _rows(found) == _rows(products.catalog_search(goods, needle))
-
-
 def test_hot_order_is_split_between_tasks(spark):
     """One order with a third of all lines: the line/order join splits it."""
     settings = {

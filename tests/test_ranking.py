@@ -7,13 +7,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from cartwright.operators.percentiles import distributed_percentiles, percentile_columns
+from cartwright.operators.percentiles import distributed_percentiles
 from cartwright.operators.ranking import (
     distributed_ntile,
     distributed_running_sum,
     grouped_running_sum,
-    ntile_window,
-    running_share_window,
 )
 from cartwright.runtime import materialize, work_dir
 
@@ -41,6 +39,31 @@ def _rows(spark, n, seed):
     return materialize(df, "rows")
 
 
+def ntile_window(df, tiles, orders, key):
+    return df.withColumns(
+        {
+            name: F.ntile(tiles).over(Window.orderBy(*columns, F.col(key)))
+            for name, columns in orders.items()
+        }
+    )
+
+
+def running_share_window(df, order, value, *, running, total, rank):
+    by_order = Window.orderBy(F.col(order).desc_nulls_first())
+    up_to_peers = by_order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumns(
+        {
+            running: F.sum(value).over(up_to_peers),
+            total: F.sum(value).over(Window.partitionBy()),
+            rank: F.dense_rank().over(by_order),
+        }
+    )
+
+
+def percentile_columns(value, wanted):
+    return [F.percentile(value, p).alias(name) for name, p in wanted.items()]
+
+
 def _same(left, right):
     assert sorted(map(tuple, left.collect()), key=repr) == sorted(
         map(tuple, right.collect()), key=repr

@@ -79,7 +79,7 @@ def test_channels_keep_customers_without_orders(spark):
 )
 def test_every_segment_rule(spark, scores, name):
     row = spark.createDataFrame([scores], "r int, f int, m int")
-    assert row.select(customers.segment_name(F.col("r"), F.col("f"), F.col("m"))).first()[0] == name
+    assert row.select(F.expr(L.segment_case())).first()[0] == name
 
 
 def test_recency_counts_from_cancelled_orders_too(spark):
@@ -93,9 +93,8 @@ def test_recency_counts_from_cancelled_orders_too(spark):
             order_date=day("2024-01-11T11:00:00"),
         ),
     )
-    for strategy in ("single", "distributed"):
-        (row,) = customers.rfm_scores(people, orders, strategy=strategy).collect()
-        assert (row.customer_id, row.recency_days, row.r_score) == (1, 9, 1)
+    (row,) = customers.rfm_scores(people, orders).collect()
+    assert (row.customer_id, row.recency_days, row.r_score) == (1, 9, 1)
 
 
 def test_cells_rank_customers_without_orders_last(spark):
@@ -108,12 +107,9 @@ def test_cells_rank_customers_without_orders_last(spark):
             for i in range(1, 5)
         ],
     )
-    for strategy in ("single", "distributed"):
-        cells = customers.rfm_score_cells(
-            people, orders, datetime.date(2024, 1, 2), strategy=strategy
-        ).collect()
-        assert cells[0].r_score == 5 and cells[0].avg_segment_spend == 0.0
-        assert sum(c.total_customers for c in cells) == 5
+    cells = customers.rfm_score_cells(people, orders, datetime.date(2024, 1, 2)).collect()
+    assert cells[0].r_score == 5 and cells[0].avg_segment_spend == 0.0
+    assert sum(c.total_customers for c in cells) == 5
 
 
 def test_cohorts(spark):
@@ -149,15 +145,12 @@ def test_pareto_edges_and_ties(spark):
     )
     t = clean_tables(spark)
     goods = frame(spark, "products", *[dict(product_id=i) for i in range(1, 6)])
-    for strategy in ("single", "distributed"):
-        rows = products.product_pareto(
-            goods, t["categories"], items, t["orders"], strategy=strategy
-        ).collect()
-        assert [r.revenue_rank for r in rows] == [1, 2, 2, 2, 2]
-        assert rows[0].pareto_classification == L.TIER_A[1]
-        # Equal revenues share the running total.
-        assert {r.cumulative_revenue_pct for r in rows[1:]} == {100.0}
-        assert rows[4].pareto_classification == L.TIER_C
+    rows = products.product_pareto(goods, t["categories"], items, t["orders"]).collect()
+    assert [r.revenue_rank for r in rows] == [1, 2, 2, 2, 2]
+    assert rows[0].pareto_classification == L.TIER_A[1]
+    # Equal revenues share the running total.
+    assert {r.cumulative_revenue_pct for r in rows[1:]} == {100.0}
+    assert rows[4].pareto_classification == L.TIER_C
 
 
 def test_return_rate_flags(spark):
@@ -194,10 +187,9 @@ def test_states_need_twenty_deliveries(spark):
         for n in range(39)
     ]
     orders = frame(spark, "orders", *rows)
-    for strategy in ("single", "distributed"):
-        (row,) = logistics.delivery_sla_by_state(orders, strategy=strategy).collect()
-        assert (row.shipping_state, row.total_deliveries) == ("NV", 20)
-        assert (row.median_delivery_days, row.on_time_sla_pct) == (5.0, 50.0)
+    (row,) = logistics.delivery_sla_by_state(orders).collect()
+    assert (row.shipping_state, row.total_deliveries) == ("NV", 20)
+    assert (row.median_delivery_days, row.on_time_sla_pct) == (5.0, 50.0)
 
 
 def test_pending_payments_count_in_total_only(spark):

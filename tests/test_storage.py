@@ -12,7 +12,7 @@ from cartwright.plans import finance, logistics, mart
 from cartwright.runtime import fresh_path
 from cartwright.sources import load_csv, write_csv, write_orders_by_customer, write_orders_by_status
 from cartwright.sources.csv_files import CORRUPT
-from cartwright.sources.loading import LOAD_ORDER, load_tables
+from cartwright.sources.loading import LOAD_ORDER, load_tables, read_rejected
 from tables import clean_tables, day, frame
 
 
@@ -76,9 +76,23 @@ def test_bulk_load(spark, tmp_path):
     out = str(tmp_path / "out")
     loaded = load_tables(spark, str(tmp_path), out, check_references=True)
     assert {n: df.count() for n, df in loaded.items()}["orders"] == 2
-    (bad,) = spark.read.parquet(f"{out}/rejected/orders").collect()
+    (bad,) = read_rejected(spark, out, "orders", loaded["orders"].schema).collect()
     assert (bad.order_id, bad[REASONS]) == (3, ["total_amount is negative"])
     assert mart.read_mart(spark, f"{out}/mart").count() == 1
+    # A second load replaces the first and publishes the mart again.
+    again = load_tables(spark, str(tmp_path), out, check_references=True)
+    assert again["orders"].count() == 2 and mart.current_version(spark, f"{out}/mart") == 2
+
+
+def test_ids_beyond_32_bits(spark, tmp_path):
+    big = 1 << 40
+    path = _file(
+        tmp_path / "items.csv",
+        "order_item_id,order_id,product_id,quantity,unit_price,cost_price,item_discount\n"
+        f"{big},{big + 1},{big + 2},3,9.99,4.00,1.50\n",
+    )
+    (row,) = load_csv(spark, path, "order_items").collect()
+    assert (row.order_item_id, row.order_id, row.product_id) == (big, big + 1, big + 2)
 
 
 def test_layouts_prune(spark):
@@ -125,6 +139,19 @@ def test_mart_versions(spark):
     assert old.count() == 1 and mart.read_mart(spark, root).count() == 2
 
 
+def test_second_of_two_publishers_is_refused(spark):
+    root = fresh_path(spark, "mart")
+    t = clean_tables(spark)
+    rows = finance.monthly_mart(t["orders"], t["order_items"])
+    assert mart.publish(spark, rows, root) == 1
+    assert mart.publish(spark, rows, root, base=1) == 2
+    with pytest.raises(mart.ConcurrentRefresh):
+        mart.publish(spark, rows, root, base=1)
+    # The number that the refused job claimed is skipped.
+    assert mart.current_version(spark, root) == 2
+    assert mart.publish(spark, rows, root) == 4
+
+
 def test_repeated_month_is_not_published(spark):
     root = fresh_path(spark, "mart")
     t = clean_tables(spark)
