@@ -125,7 +125,8 @@ def train_prototypes(docs: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[s
                 total = sums.setdefault(lang, np.zeros(dimensions, np.int64))
                 for i in range(0, len(codes), _CHUNK):
                     total += counts[i : i + _CHUNK] @ encoder._bind(codes[i : i + _CHUNK]).astype(np.int64)
-        yield pd.DataFrame({"lang": list(sums), "bundle": [s.tolist() for s in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "bundle": [s.tolist() for s in sums.values()]})
 
     learned = docs.filter(F.col("lang").isNotNull()).select("lang", whole().alias("text"))
     sums = (
