@@ -30,7 +30,7 @@ WINDOW = 3
 
 #: Coordinates of the vector and the least standard deviation each is given. Most texts have
 #: no symbol, double line or repetition at all, so their spread alone would reject the first one.
-COORDINATES = {"length": 1.5, "word_length": 0.15, "symbols": 0.04, "dup_lines": 0.10, "repeats": 0.20}
+COORDINATES = {"length": 1.5, "word_length": 0.20, "symbols": 0.05, "dup_lines": 0.10, "repeats": 0.20}
 DIM = len(COORDINATES)
 #: Groups with fewer rows are judged by their language, and languages with fewer by all rows.
 MIN_GROUP = 100
@@ -100,8 +100,11 @@ def coordinates() -> list[Column]:
 
 
 def _estimates(spark_rows: DataFrame) -> DataFrame:
-    """Centre and inverse covariance, flat, from (key, n, s, ss): sums of the vectors and of their products."""
-    floor = np.array(list(COORDINATES.values())) ** 2
+    """Centre and inverse covariance, flat, from (key, n, s, ss): sums of the vectors and of their products.
+
+    The covariance of the inner half is scaled up to that of all points before the floors are added.
+    """
+    floor, factor = np.array(list(COORDINATES.values())) ** 2, consistency()
     upper = np.triu_indices(DIM)
 
     @F.pandas_udf("centre array<double>, inverse array<double>")
@@ -113,7 +116,7 @@ def _estimates(spark_rows: DataFrame) -> DataFrame:
             cov[upper] = np.asarray(ss) / count
             cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(centre, centre)
             centres.append(centre.tolist())
-            inverses.append(np.linalg.inv(cov + np.diag(floor))[upper].tolist())
+            inverses.append(np.linalg.inv(cov / factor + np.diag(floor))[upper].tolist())
         return pd.DataFrame({"centre": centres, "inverse": inverses})
 
     return spark_rows.select("key", invert("n", "s", "ss").alias("e")).select("key", "e.centre", "e.inverse")
@@ -243,7 +246,7 @@ def judge_quality(
     judged = (
         points.join(keys, F.col("group_key") == F.col("for_group"), "left")
         .join(estimates.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
-        .withColumn("distance", squared_distance() * consistency())
+        .withColumn("distance", squared_distance())
     )
     usual = F.coalesce(F.col("distance") <= max_squared_distance, F.lit(True))
     return judged.select(
