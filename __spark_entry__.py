@@ -31,6 +31,7 @@ from cartwright.sources.schemas import SCHEMAS
 from cartwright.sources.star_tables import LINE_ARRIVAL
 from cartwright.streaming import inventory_stream, monthly_stream, stock_levels
 from oracle import ORACLE
+from oracle.faults import FAULTS
 
 try:
     from cartwright.llm.queries import ORACLE as LLM_ORACLE
@@ -263,6 +264,20 @@ def _refresh_mart_incremental(t: StarTables) -> DataFrame:
     return mart.read_mart(t.spark, root)
 
 
+# ----------------------------------------------------------------- quality
+
+
+def _seeded(t: StarTables) -> dict[str, DataFrame]:
+    """The seven tables with planted faults of every kind that the checks look for."""
+    tables = t.all()
+    return {
+        name: table.selectExpr(
+            *[f"{FAULTS[name][c]} AS {c}" if c in FAULTS.get(name, {}) else c for c in table.columns]
+        )
+        for name, table in tables.items()
+    }
+
+
 # ------------------------------------------------------------- constraints
 
 
@@ -519,6 +534,10 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     "dq_checks": lambda t: quality.dq_checks(t.all(), AS_OF),
     "dq_duplicates": lambda t: quality.dq_duplicates(t.all()),
     "dq_scorecard": lambda t: quality.dq_scorecard(t.all(), AS_OF),
+    "dq_orphans_seeded": lambda t: quality.dq_orphans(_seeded(t)),
+    "dq_checks_seeded": lambda t: quality.dq_checks(_seeded(t), AS_OF),
+    "dq_duplicates_seeded": lambda t: quality.dq_duplicates(_seeded(t)),
+    "dq_scorecard_seeded": lambda t: quality.dq_scorecard(_seeded(t), AS_OF),
     "enforce_not_null": _enforce_not_null,
     "enforce_unique": _enforce_unique,
     "enforce_fk": _enforce_fk,

@@ -1,5 +1,7 @@
 """The retail tables as SQL over the test files; the mapping is in FIXTURES.md."""
 
+from oracle.faults import FAULTS
+
 VIEWS = {
     "o": """
     SELECT b.*,
@@ -81,6 +83,20 @@ def sql(views: str, body: str, **ctes: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+_TABLE_OF = {"o": "orders", "i": "order_items", "p": "products", "c": "customers", "y": "payments", "r": "reviews"}
+
+
+def sql_with_faults(views: str, body: str, **ctes: str) -> str:
+    """As ``sql``, over the tables with planted faults; payments stem from the orders without."""
+    plain = VIEWS | {"y": VIEWS["y"].replace("FROM o", f"FROM ({VIEWS['o']}) s")}
+    parts = []
+    for v in views:
+        changed = ", ".join(f"{value} AS {c}" for c, value in FAULTS[_TABLE_OF[v]].items())
+        parts.append(f"{v} AS (SELECT * REPLACE ({changed}) FROM ({plain[v]}) b)")
+    parts += [f"{k} AS ({v})" for k, v in ctes.items()]
+    return "WITH " + ",\n".join(parts) + "\n" + body
+
+
 def dbl(x: str) -> str:
     return f"CAST({x} AS DOUBLE)"
 
