@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +22,11 @@ from cartwright.llm import (
     url_filter,
 )
 from cartwright.llm.oracle import ORACLE
+from cartwright.llm.shipping import ship_package
 from cartwright.llm.text import table
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
@@ -93,8 +98,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _shipped(f)
     for f in (
         op1_embedding_near_dedup, op2_best_fit_packing, op3_simhash_near_dedup, op4_license_scan, op5_mix_sources,
         op6_toxicity, op7_language_id, op8_line_dedup, op9_url_filter, op10_quality_rules,

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import language, line_dedup, mixing, packing, simhash
+from cartwright.llm.shipping import ship_package
 from cartwright.llm.text import packed, table, unpacked
 from cartwright.runtime import fresh_path
 
@@ -24,6 +25,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     The prototypes are learnt from these documents. If there is nothing to
     learn from, a document is undetermined only by its text.
     """
+    ship_package(spark)
     prototypes = language.train_prototypes(docs)
     found = language.identify(docs, prototypes)
     rejected = F.col("lang_pred") == language.UNDETERMINED if prototypes else ~F.coalesce("row.text", F.lit("")).rlike(r"\p{L}")
@@ -43,6 +45,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Rows that repeat the id of a kept document stay as well: they are that document.
     """
+    ship_package(spark)
     groups = simhash.near_duplicates(docs, shingle=3)
     gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     rows = docs.select(packed(docs).alias("row"))
@@ -56,6 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences of 1024 tokens."""
+    ship_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end=2)
 
 
