@@ -25,9 +25,13 @@ def work_dir(spark: SparkSession) -> str:
 
 def clear_work_dir(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application; call it when its results are stored."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(work_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, work_dir(spark))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of this job's own, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cartwright.operators.inventory import ARRIVAL, line_columns, running_sales
+from cartwright.runtime import delete
 
 # After this many batches the units sold so far are stored as one table, so
 # that a batch never has to add up more than this many small ones.
@@ -58,6 +59,11 @@ def _sold_before(
     if batch_id == 0 or batch_id != last:
         return _sold_between(spark, sink, last, batch_id, schema)
     path = f"{sink}/sold_before/batch={batch_id}"
+    # A retry of this batch still needs the snapshot before and all that follows it.
+    previous = batch_id - SNAPSHOT_EVERY
+    for old in range(max(0, previous - SNAPSHOT_EVERY), previous):
+        delete(spark, f"{sink}/sold/batch={old}")
+        delete(spark, f"{sink}/sold_before/batch={old}")
     _sold_between(spark, sink, batch_id - SNAPSHOT_EVERY, batch_id, schema).write.mode(
         "overwrite"
     ).parquet(path)

@@ -103,6 +103,9 @@ def test_stream_equals_batch_ledger(spark, monkeypatch, snapshot_every):
         ).awaitTermination()
     got = spark.read.parquet(f"{sink}/ledger").drop("batch")
     assert _rows(got) == _rows(inventory.inventory_ledger(goods, lines))
+    # Batches before the last snapshot but one are gone.
+    oldest = 2 if snapshot_every == 2 else 0
+    assert min(spark.read.parquet(f"{sink}/sold").toPandas()["batch"]) == oldest
 
 
 def test_monthly_stream_equals_batch(spark):
