@@ -12,8 +12,10 @@ row per vector, not one per pair. A pair that shares several buckets counts in
 the first table where it does.
 
 Recall: two unit vectors at cosine 0.93 share a table's bucket with probability
-0.85 ** 12 = 0.14 at width 2 and so at least one of 32 with 0.99; at cosine
-0.97 it is 0.9999.
+0.851 ** 16 = 0.075 at width 2 and so at least one of 48 with 0.976; at cosine
+0.97 with 0.9999. Unrelated vectors share one with 0.486 ** 16 = 0.00001, so a
+bucket holds about one stranger for each 100,000 vectors of a label; far larger
+labels ask for more projections and tables.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from pyspark.sql import types as T
 from cartwright.llm.graph import connected_components
 from cartwright.runtime import materialize
 
-TABLES = 32
-PROJECTIONS = 12
+TABLES = 48
+PROJECTIONS = 16
 WIDTH = 2.0
 SEED = 11
 #: Members of a block; a task compares at most two blocks at a time.
@@ -49,14 +51,14 @@ def distinct_vectors(vectors: DataFrame) -> DataFrame:
 
 
 def bucket_signatures(reps: DataFrame, *, tables: int, projections: int, width: float, seed: int) -> DataFrame:
-    """``reps`` with ``buckets``: the bucket's hash in each table."""
-    fields = list(reps.schema.fields) + [T.StructField("buckets", T.ArrayType(T.LongType()))]
+    """``reps`` with ``buckets``: the bucket's number in each table, a 32-bit hash."""
+    fields = list(reps.schema.fields) + [T.StructField("buckets", T.ArrayType(T.IntegerType()))]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for batch in batches:
             sizes, unit = _unit_rows(batch.column("embedding"))
-            buckets = np.zeros((len(sizes), tables), np.int64)
+            buckets = np.zeros((len(sizes), tables), np.int32)
             for n in np.unique(sizes):
                 if n not in drawn:
                     rng = np.random.default_rng([seed, n])
@@ -69,8 +71,7 @@ def bucket_signatures(reps: DataFrame, *, tables: int, projections: int, width:
                 at = np.flatnonzero(sizes == n)
                 steps = np.floor((unit[at, :n] @ direction + shift) / width).astype(np.int64).astype(np.uint64)
                 hashed = (steps.reshape(len(at), tables, projections) * mix).sum(axis=2, dtype=np.uint64)
-                hashed ^= hashed >> np.uint64(31)
-                buckets[at] = hashed.view(np.int64)
+                buckets[at] = (hashed >> np.uint64(32)).astype(np.uint32).view(np.int32)
             signed = pa.ListArray.from_arrays(
                 np.arange(0, buckets.size + 1, tables, dtype=np.int32), pa.array(buckets.ravel())
             )
