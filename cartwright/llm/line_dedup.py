@@ -5,8 +5,9 @@ the lines of hashes over the threshold, reassemble by position.
 
 What is shuffled: two hashes and an id per line (twice), the positions of
 dropped lines, and each text once. A line found everywhere is spread over
-tasks by (hash, document) while it is counted, and its join partition is one
-that adaptive execution splits, because the join's result goes to another key.
+tasks by (hash, document) while it is counted. The hashes over the threshold
+are stored before they are joined: both sides of the join are then plain
+shuffles, so adaptive execution can split the partition of such a line.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.text import SPACE, ascii_lower, lines_of, packed, whole
+from cartwright.runtime import materialize
 
 
 def line_key(line: Column) -> Column:
@@ -50,7 +52,7 @@ def drop_common_lines(docs: DataFrame, *, min_docs: int = 10, min_chars: int = 1
         _line_hashes(source, min_chars).select("doc_id", "h1", "h2").distinct()
         .groupBy("h1", "h2").agg(F.count("*").alias("n_docs"))
     )
-    common = found_in.filter(F.col("n_docs") >= min_docs).select("h1", "h2")
+    common = materialize(found_in.filter(F.col("n_docs") >= min_docs).select("h1", "h2"), "common-lines")
     dropped = (
         _line_hashes(source, min_chars)
         .join(common, ["h1", "h2"])
