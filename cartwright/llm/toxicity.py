@@ -10,11 +10,11 @@ scores every text.
 The label that people gave counts as one more voter, of a stated accuracy, which
 tells the model which class is which; a single wrong label need not be believed.
 
-The classifier, its lexicon included, is fitted on at most ``max_rows`` labelled
-documents, chosen by a hash of their ids; so few ids can be sent to every task,
-and no text moves. What reaches the driver is bounded by the model: the mined
-entries (at most ``max_entries`` of each kind), one count per combination of
-votes, and the features of those documents.
+Words are mined from all labelled texts, and the label model reads all of their
+votes. Texts move once, to meet their labels; the labelled ones are stored. What
+reaches the driver is bounded by the model: the mined entries (at most
+``max_entries`` of each kind), one count per combination of votes, and a sample
+of ``max_rows`` labelled rows for the linear classifier.
 """
 
 from __future__ import annotations
@@ -267,8 +267,9 @@ def score_toxicity(
 ) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``.
 
-    ``labels`` (doc_id, toxic) must hold the training labels only, of which
-    ``max_rows`` are used. A document
+    ``labels`` (doc_id, toxic) must hold the training labels only. All of them
+    teach the lexicon and the label model; the weights of the linear classifier
+    are fitted on ``max_rows`` of them, chosen by a hash of their ids. A document
     with several labels is toxic if any says so; null labels and labels of
     unknown documents teach nothing. If there are not two classes to learn
     from, the fixed insults decide. Scores depend on the text alone; a null or
@@ -277,12 +278,11 @@ def score_toxicity(
     gold = (
         labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("gold_id")).agg(F.max("toxic").alias("toxic"))
-        .orderBy(uniform(F.col("gold_id"), SEED), "gold_id").limit(max_rows)
     )
-    # Proven size: at most ``max_rows`` ids.
-    gold = F.broadcast(materialize(gold, "training-labels"))
     texts = docs.select("doc_id", whole().alias("text"))
-    labelled = texts.join(gold, F.col("doc_id") == F.col("gold_id")).select("text", "toxic")
+    # One join form at every size: it builds on the labels, one row per id.
+    labelled = texts.join(gold.hint("shuffle_hash"), F.col("doc_id") == F.col("gold_id"))
+    labelled = materialize(labelled.select("doc_id", "text", "toxic"), "labelled")
     lexicon = mine_lexicon(labelled, min_z=min_z, max_entries=max_entries)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
@@ -291,7 +291,7 @@ def score_toxicity(
             yield pd.Series([features_of(t, lexicon) for t in batch], dtype=object)
 
     stored = materialize(texts.select("doc_id", features("text").alias("x")), "features")
-    weights = _train(stored, gold)
+    weights = _train(labelled.select("doc_id", "toxic", features("text").alias("x")), max_rows)
     score = F.lit(float(weights[-1]))
     for i, w in enumerate(weights[:-1]):
         score = score + F.col("x")[i] * float(w)
@@ -299,17 +299,20 @@ def score_toxicity(
     return stored.select("doc_id", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _train(stored: DataFrame, gold: DataFrame) -> np.ndarray:
-    known = stored.join(gold, F.col("doc_id") == F.col("gold_id")).select(
-        "doc_id", "toxic", "x", F.slice("x", 1, VOTERS).cast("array<tinyint>").alias("votes")
-    )
-    patterns = known.groupBy("votes", "toxic").agg(F.count("*").alias("n")).collect()
+def _train(known: DataFrame, max_rows: int) -> np.ndarray:
+    """Weights from the features of all labelled texts (doc_id, toxic, x)."""
+    known = materialize(known, "labelled-features")
+    votes = F.slice("x", 1, VOTERS).cast("array<tinyint>").alias("votes")
+    patterns = known.groupBy(votes, "toxic").agg(F.count("*").alias("n")).collect()
     if len({p["toxic"] for p in patterns}) < 2:
         return _without_labels()
     votes = np.array([[*p["votes"], p["toxic"]] for p in patterns], float)
     counts = np.array([p["n"] for p in patterns], float)
     model = fit_label_model(votes, counts)
-    sample = known.select("x", "toxic").toPandas()
+    draw = uniform(F.col("doc_id"), SEED)
+    # Some more than ``max_rows`` are drawn inside the tasks, so that few rows are sorted.
+    share = (max_rows + 10 * max_rows**0.5) / counts.sum()
+    sample = known.filter(draw < float(share)).orderBy(draw, "doc_id").limit(max_rows).select("x", "toxic").toPandas()
     x = np.array(sample["x"].tolist(), float)
     posterior = model.posterior(np.hstack([x[:, :VOTERS], sample[["toxic"]].to_numpy(float)]))
     return fit_linear(x, posterior)

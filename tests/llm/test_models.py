@@ -111,6 +111,31 @@ def test_toxicity_on_invented_words(spark, documents):
     assert {r.predicted for r in scored if r.doc_id in (5000, 5001, 5002, None)} == {0}
 
 
+def test_toxicity_learns_from_every_training_label(spark, documents, monkeypatch):
+    """``max_rows`` bounds the rows of the linear classifier, not the mining and not the label model."""
+    rows, labels = _corpus(600, 2)
+    seen = {}
+    mine, label_model, linear = toxicity.mine_lexicon, toxicity.fit_label_model, toxicity.fit_linear
+
+    def mined(labelled, **options):
+        seen["mined"] = labelled.count()
+        return mine(labelled, **options)
+
+    def modelled(votes, counts, **options):
+        seen["modelled"] = int(counts.sum())
+        return label_model(votes, counts, **options)
+
+    def fitted(x, y, **options):
+        seen["fitted"] = len(x)
+        return linear(x, y, **options)
+
+    for name, f in (("mine_lexicon", mined), ("fit_label_model", modelled), ("fit_linear", fitted)):
+        monkeypatch.setattr(toxicity, name, f)
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    assert toxicity.score_toxicity(documents(rows), labels, max_rows=100).count() == 600
+    assert seen == {"mined": 600, "modelled": 600, "fitted": 100}
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = documents(["you are an idiot", "a fine day", None])
