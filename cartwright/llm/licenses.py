@@ -1,7 +1,11 @@
 """Licence scans: TF-IDF cosine to templates, then inheritance from the nearest directory.
 
 Every line of a file is compared with the licence templates as a sparse vector
-of words weighted by TF-IDF. The best line is the file's own finding. A file
+of words weighted by TF-IDF. The best line is the file's own finding. The most
+similar template does not depend on the weights of words that no template has,
+so tasks first find it with the least weight for those, drop lines that stay
+below the limit even so, and the rest get their words' true weights by a join.
+A file
 that consists of licence lines is a licence file and speaks for its directory;
 a file without a finding of its own inherits from the nearest directory above
 it that has one, by joins on paths.
@@ -16,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +41,9 @@ TEMPLATES = {
 MIN_COSINE = 0.7
 #: A file is a licence file if at least this share of its words stands in licence lines.
 FILE_SHARE = 0.5
+#: Words that a task counts before it sends the counts on.
+COUNTED_WORDS = 300_000
+PARTS = "array<struct<name string, dot double, known double, n int, words array<struct<w string, n int>>>>"
 
 _WORD = re.compile(r"\w+(?:\.\d+)*")
 
@@ -51,27 +59,37 @@ def parents(path: Column) -> Column:
     return F.transform(F.sequence(F.size(above), F.lit(0), F.lit(-1)), lambda n: F.array_join(F.slice(above, 1, n), "/"))
 
 
-def vocabulary_counts(files: DataFrame, vocabulary: list[str]) -> tuple[int, dict[str, int]]:
-    """Number of files, and in how many each word of the vocabulary occurs."""
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    words = F.regexp_extract_all(F.lower(whole()), F.lit(f"({_WORD.pattern})"), F.lit(1))
-    found = files.select(F.explode(F.array_intersect(words, known)).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    return files.count(), {r["w"]: r["n"] for r in found.collect()}
+def word_files(files: DataFrame) -> DataFrame:
+    """(w, n_files): in how many files each word occurs, summed inside tasks first."""
+
+    def table(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], ["w", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                seen.update(set(terms(text.as_py())))
+                if len(seen) > COUNTED_WORDS:
+                    yield table(seen)
+                    seen.clear()
+        yield table(seen)
+
+    counted = files.select(whole().alias("text")).mapInArrow(count, "w string, n long")
+    return counted.groupBy("w").agg(F.sum("n").alias("n_files"))
 
 
 class Scanner:
     """Cosines of lines with the templates.
 
-    A line's coordinates are its words; a word that no template has weighs as
-    one found in no file, and counts in the line's length only.
+    A line's coordinates are its words. One that no template has counts in the
+    line's length only, and the most similar template does not depend on it.
     """
 
-    def __init__(self, templates: dict[str, str], n_files: int, counts: dict[str, int]):
+    def __init__(self, templates: dict[str, str], n_files: int, counts: dict[str, int], min_cosine: float = MIN_COSINE):
         self.names = sorted(templates)
-        self.unknown = math.log(1 + n_files) + 1
-        self.idf = {
-            w: math.log((1 + n_files) / (1 + counts.get(w, 0))) + 1 for t in templates.values() for w in terms(t)
-        }
+        self.n_files, self.counts, self.least = n_files, counts, min_cosine - 1e-9
+        self.idf = {w: self.weight(w) for t in templates.values() for w in terms(t)}
         self.columns = {w: i for i, w in enumerate(sorted(self.idf))}
         rows = []
         for name in self.names:
@@ -80,47 +98,96 @@ class Scanner:
                 row[self.columns[w]] = n * self.idf[w]
             rows.append(row / (np.linalg.norm(row) or 1))
         self.templates = np.array(rows)
+        self.needed = self._needed()
+
+    def weight(self, word: str) -> float:
+        return math.log((1 + self.n_files) / (1 + self.counts.get(word, 0))) + 1
+
+    def _needed(self) -> frozenset[str]:
+        """Words of which a similar line has one at least: the other words of a template make no cosine of that size."""
+        words, needed = sorted(self.columns), set()
+        for row in self.templates:
+            order = np.argsort(row)
+            alone = np.cumsum(row[order] ** 2) >= max(self.least, 0) ** 2
+            needed.update(words[i] for i in order[alone] if row[i] > 0)
+        return frozenset(needed)
+
+    def measure(self, counts: Counter) -> tuple[int, float, float]:
+        """Most similar template (the first by name among equals), product with it, and squared length of the known words."""
+        row = np.zeros(len(self.columns))
+        for w, n in counts.items():
+            i = self.columns.get(w)
+            if i is not None:
+                row[i] = n * self.idf[w]
+        products = self.templates @ row
+        i = int(np.argmax(products))
+        return i, float(products[i]), float(row @ row)
+
+    def part(self, words: list[str]) -> tuple | None:
+        """A row of ``PARTS`` for words that may be similar enough: no word weighs less than 1."""
+        if self.needed.isdisjoint(words):
+            return None
+        counts = Counter(words)
+        i, dot, known = self.measure(counts)
+        others = [(w, n) for w, n in counts.items() if w not in self.columns]
+        if dot < self.least * math.sqrt(known + sum(n * n for _, n in others)):
+            return None
+        return self.names[i], dot, known, len(words), others
 
     def best(self, line: str) -> tuple[str | None, float, int]:
-        """Most similar template (the first by name among equals), cosine, and the number of words."""
+        """Most similar template, cosine, and the number of words, all words weighted by this scanner's counts."""
         counts = Counter(terms(line))
-        n_words = sum(counts.values())
-        if not any(w in self.columns for w in counts):
-            return None, 0.0, n_words
-        row = np.zeros(len(self.columns))
-        rest = 0.0
-        for w, n in counts.items():
-            if w in self.columns:
-                row[self.columns[w]] = n * self.idf[w]
-            else:
-                rest += (n * self.unknown) ** 2
-        cosines = self.templates @ row / math.sqrt(row @ row + rest)
-        i = int(np.argmax(cosines))
-        return self.names[i], float(cosines[i]), n_words
+        i, dot, known = self.measure(counts)
+        if not known:
+            return None, 0.0, sum(counts.values())
+        rest = sum((n * self.weight(w)) ** 2 for w, n in counts.items() if w not in self.columns)
+        return self.names[i], dot / math.sqrt(known + rest), sum(counts.values())
 
 
 def own_licenses(files: DataFrame, templates: dict[str, str], min_cosine: float) -> DataFrame:
     """(file_id, path, found, similarity, license_file): the finding in each file's own text, over all of its lines."""
     vocabulary = sorted({w for t in templates.values() for w in terms(t)})
-    scanner = Scanner(templates, *vocabulary_counts(files, vocabulary))
+    counted = materialize(word_files(files), "word-files")
+    n_files = files.count()
+    counts = {r["w"]: r["n_files"] for r in counted.filter(F.col("w").isin(vocabulary)).collect()}
+    scanner = Scanner(templates, n_files, counts, min_cosine)
 
-    @F.pandas_udf("found string, similarity double, license_file boolean")
+    @F.pandas_udf(f"total int, parts {PARTS}")
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             rows = []
             for text in texts:
-                name, top, inside, total = None, 0.0, 0, 0
-                for line in text.split("\n"):
-                    candidate, cosine, n = scanner.best(line)
-                    total += n
-                    if cosine >= min_cosine:
-                        inside += n
-                        if cosine > top:
-                            name, top = candidate, cosine
-                rows.append((name, top, bool(total) and inside >= FILE_SHARE * total))
-            yield pd.DataFrame(rows, columns=["found", "similarity", "license_file"])
-
-    return files.select("file_id", "path", scan(whole()).alias("own")).select("file_id", "path", "own.*")
+                words = terms(text)
+                parts = []
+                if not scanner.needed.isdisjoint(words):
+                    parts = [scanner.part(terms(line)) for line in text.split("\n")]
+                rows.append((len(words), [p for p in parts if p]))
+            yield pd.DataFrame(rows, columns=["total", "parts"])
+
+    scanned = files.select(F.monotonically_increasing_id().alias("row"), "file_id", "path", scan(whole()).alias("own"))
+    scanned = materialize(scanned.select("row", "file_id", "path", "own.*"), "licence-parts")
+    parts = scanned.select("row", F.posexplode("parts").alias("at", "part"))
+    others = parts.select("row", "at", F.inline("part.words"))
+    # Few lines are left, and so few words as a rule; Spark picks the join.
+    known = materialize(counted.join(others.select("w").distinct(), "w", "left_semi"), "licence-words")
+    weight = F.col("n") * (F.log(F.lit(1.0 + n_files) / (1 + F.coalesce("n_files", F.lit(0)))) + 1)
+    rest = others.join(known, "w", "left").groupBy("row", "at").agg(F.sum(weight * weight).alias("rest"))
+    # Rounded, so that equal texts in different lines are equally similar.
+    cosine = F.round(F.col("part.dot") / F.sqrt(F.col("part.known") + F.coalesce("rest", F.lit(0.0))), 12)
+    similar = (
+        parts.join(rest, ["row", "at"], "left").withColumn("cosine", cosine).filter(F.col("cosine") >= min_cosine)
+        .groupBy("row").agg(
+            F.min(F.struct((-F.col("cosine")).alias("o"), "at", F.col("part.name").alias("name"))).alias("best"),
+            F.sum("part.n").alias("inside"),
+        )
+    )
+    return scanned.join(similar, "row", "left").select(
+        "file_id",
+        "path",
+        F.col("best.name").alias("found"),
+        F.coalesce(-F.col("best.o"), F.lit(0.0)).alias("similarity"),
+        F.coalesce(F.col("inside") >= FILE_SHARE * F.col("total"), F.lit(False)).alias("license_file"),
+    )
 
 
 def scan_licenses(files: DataFrame, *, templates: dict[str, str] | None = None, min_cosine: float = MIN_COSINE) -> DataFrame:

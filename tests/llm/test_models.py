@@ -280,3 +280,20 @@ def test_license_query_against_plain_search(spark):
     for i, text in texts.items():
         own = [templates[x] for x in text.split("\n") if x in templates]
         assert (got[i].origin == "own") == bool(own) and (not own or got[i].license == own[0])
+
+
+def test_license_similarity_does_not_depend_on_the_number_of_files(spark):
+    """Common words that no template has weigh little, however many files there are."""
+    common = "this file is released to you for the work of a library or later use and it is under"
+    line = "This file is released under the MIT License."
+    found = {}
+    for n in (200, 20_000):
+        files = spark.range(n).selectExpr("id AS file_id", "'f' AS path", f"'{common}' AS text").unionByName(
+            _files(spark, [(-1, "x", f"{line}\nother words {n}", None, None)]).select("file_id", "path", "text")
+        )
+        own = licenses.own_licenses(files, licenses.TEMPLATES, 0.5).filter("file_id = -1").first()
+        counts = dict.fromkeys(common.split(), n) | {w: n + 1 for w in "this file is released under the".split()}
+        scanner = licenses.Scanner(licenses.TEMPLATES, n + 1, counts | {"mit": 1, "license": 1, "other": 1, "words": 1, str(n): 1})
+        assert (own.found, own.similarity) == ("MIT", pytest.approx(scanner.best(line)[1]))
+        found[n] = own.similarity
+    assert found[20_000] >= found[200] > 0.9
