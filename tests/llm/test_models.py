@@ -297,3 +297,26 @@ def test_license_similarity_does_not_depend_on_the_number_of_files(spark):
         assert (own.found, own.similarity) == ("MIT", pytest.approx(scanner.best(line)[1]))
         found[n] = own.similarity
     assert found[20_000] >= found[200] > 0.9
+
+
+def test_license_texts_and_headers(spark):
+    texts = dict(licenses.license_texts())
+    gpl2, apache = licenses.HEADERS["GPL-2.0"][0].split(), licenses.HEADERS["Apache-2.0"][1].split()
+    wrap = lambda words, mark: "\n".join(f"{mark} " + " ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+    body = "\nimport os\n" + "value = compute(other, result)\n" * 60
+    rows = [(i, f"{name}/LICENSE", "Copyright (c) 2024 Someone\n\n" + text) for i, (name, text) in enumerate(texts.items())]
+    rows += [(100 + i, f"{name}/src/deep/x.py", body) for i, name in enumerate(texts)]
+    rows += [
+        (200, "f/a.py", "#!/usr/bin/python\n" + wrap(gpl2, "#") + "\n" + body),
+        (201, "f/b.c", "/*\n" + wrap(apache, " *") + "\n */\n" + body),
+        (202, "f/c.c", "// SPDX-License-Identifier: MPL-2.0\n" + body),
+        (203, "f/d.c", "// SPDX-License-Identifier: Unheard-9\n" + body),
+        (204, "f/e.c", wrap(texts["MIT"].split(), "//") + "\n" + body),
+        (205, "f/f.md", "A short text about this. All rights reserved. Released under the MIT License. It goes on after that."),
+        (206, "f/g.md", "The use of the work and of the files is free to all of the persons that come to this place."),
+    ]
+    frame = spark.createDataFrame(rows, "file_id long, path string, text string")
+    got = {r.file_id: (r.license, r.origin) for r in licenses.scan_licenses(frame).collect()}
+    for i, name in enumerate(texts):
+        assert got[i] == (name, "own") and got[100 + i] == (name, "inherited")
+    assert [got[i][0] for i in range(200, 207)] == ["GPL-2.0", "Apache-2.0", "MPL-2.0", None, "MIT", "MIT", None]
