@@ -28,9 +28,10 @@ STATISTICS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n
 SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 
-#: Coordinates of the vector and the least standard deviation each is given. Most texts have
-#: no symbol, double line or repetition at all, so their spread alone would reject the first one.
-COORDINATES = {"length": 1.5, "word_length": 0.20, "symbols": 0.05, "dup_lines": 0.10, "repeats": 0.20}
+#: Coordinates of the vector and the least standard deviation of each, for groups whose own is smaller. Most texts have
+#: no symbol, double line or repetition at all, so their spread alone would reject the first one. Length has a wide one,
+#: so that long clean texts stay.
+COORDINATES = {"length": 1.0, "word_length": 0.05, "symbols": 0.03, "dup_lines": 0.05, "repeats": 0.12}
 DIM = len(COORDINATES)
 #: Groups with fewer rows are judged by their language, and languages with fewer by all rows.
 MIN_GROUP = 100
@@ -102,9 +103,10 @@ def coordinates() -> list[Column]:
 def _estimates(spark_rows: DataFrame) -> DataFrame:
     """Centre and inverse covariance, flat, from (key, n, s, ss): sums of the vectors and of their products.
 
-    The covariance of the inner half is scaled up to that of all points before the floors are added.
+    The covariance of the inner half is scaled up to that of all points. In no direction is it less than the floors':
+    in coordinates that are measured in floors, eigenvalues below 1 count as 1, and all others as they are.
     """
-    floor, factor = np.array(list(COORDINATES.values())) ** 2, consistency()
+    floor, factor = np.array(list(COORDINATES.values())), consistency()
     upper = np.triu_indices(DIM)
 
     @F.pandas_udf("centre array<double>, inverse array<double>")
@@ -116,7 +118,9 @@ def _estimates(spark_rows: DataFrame) -> DataFrame:
             cov[upper] = np.asarray(ss) / count
             cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(centre, centre)
             centres.append(centre.tolist())
-            inverses.append(np.linalg.inv(cov / factor + np.diag(floor))[upper].tolist())
+            values, axes = np.linalg.eigh(cov / factor / np.outer(floor, floor))
+            axes /= floor[:, None]
+            inverses.append(((axes / np.maximum(values, 1)) @ axes.T)[upper].tolist())
         return pd.DataFrame({"centre": centres, "inverse": inverses})
 
     return spark_rows.select("key", invert("n", "s", "ss").alias("e")).select("key", "e.centre", "e.inverse")
@@ -152,8 +156,8 @@ def robust_estimates(points: DataFrame, *, steps: int = STEPS) -> DataFrame:
     ``points`` (key, x0, x1, ...) is read once a step. Steps start from the
     group's medians and floor deviations. The half is cut at the upper edge of
     a distance class, so it holds at least (n + dimensions + 1) / 2 points.
-    Floor variances are added to the diagonal: a group whose vectors are all
-    alike still has an inverse.
+    Floor variances are the least in any direction: a group whose vectors are
+    all alike still has an inverse.
     """
     medians = points.groupBy("key").agg(
         F.array(*[F.percentile_approx(f"x{i}", 0.5, 1000) for i in range(DIM)]).alias("centre")

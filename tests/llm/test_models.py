@@ -231,6 +231,45 @@ def test_quality_rules(documents):
     assert quality.judge_quality(documents([])).count() == 0
 
 
+def test_groups_with_spread_are_judged_by_their_own(spark):
+    """Moderate outliers of every coordinate, beside clean vectors; each coordinate's deviation is above its floor."""
+    rng = np.random.default_rng(4)
+    deviation = 1.5 * np.array(list(quality.COORDINATES.values()))
+    clean = rng.standard_normal((2000, 5)) * deviation + 5
+    odd = np.vstack([5 + sign * 5.8 * deviation * unit for unit in np.eye(5) for sign in (1, -1)])
+    points = spark.createDataFrame(
+        [("a", *map(float, r)) for r in np.vstack([clean, odd])], "key string, " + ", ".join(f"x{i} double" for i in range(5))
+    )
+    (r,) = quality.robust_estimates(points).collect()
+    inverse = np.zeros((5, 5))
+    inverse[np.triu_indices(5)] = r.inverse
+    inverse += np.triu(inverse, 1).T
+    distance = lambda x: np.einsum("ij,jk,ik->i", x - r.centre, inverse, x - r.centre)
+    assert (distance(odd) > quality.MAX_SQUARED_DISTANCE).all()
+    assert (distance(clean) > quality.MAX_SQUARED_DISTANCE).mean() < 0.005
+    # A group without spread has the floors' distances.
+    alike = spark.createDataFrame([("b", *[1.0] * 5)] * 50, points.schema)
+    floors = np.array(list(quality.COORDINATES.values()))
+    assert quality.robust_estimates(alike).first().inverse == pytest.approx(np.diag(floors**-2.0)[np.triu_indices(5)])
+
+
+def test_moderate_outliers_are_rejected(documents):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in ("str", "bl", "gr", "t") for b in ("ong", "ue", "een", "able", "ime")]
+    prose = lambda n: [rng.choice(words) + rng.choice(words) for _ in range(n)]
+    rows = [(i, " ".join(prose(rng.randrange(60, 400))), "en", "a") for i in range(600)]
+    text = prose(300)
+    odd = {
+        1000: " ".join(w + "xyz" for w in text),
+        1001: " ".join(w + "#" * (i % 3 == 0) for i, w in enumerate(text)),
+        1002: "\n".join(" ".join(text[i : i + 5]) for i in range(0, 150, 5)) + "\nsee all of our posts" * 30,
+        1003: " ".join(text[:160] + text[:40] * 2),
+    }
+    got = {r.doc_id: r for r in quality.judge_quality(documents(rows + [(i, t, "en", "a") for i, t in odd.items()])).collect()}
+    assert [got[i].base_failed for i in odd] == [False] * 4 and [got[i].kept for i in odd] == [False] * 4
+    assert sum(not got[i].kept for i in range(600)) <= 2
+
+
 # ------------------------------------------------------------------ licences
 
 
