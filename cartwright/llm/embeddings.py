@@ -12,8 +12,8 @@ row per vector, not one per pair. A pair that shares several buckets counts in
 the first table where it does.
 
 Recall: two unit vectors at cosine 0.93 share a table's bucket with probability
-0.851 ** 16 = 0.075 at width 2 and so at least one of 48 with 0.976; at cosine
-0.97 with 0.9999. Unrelated vectors share one with 0.486 ** 16 = 0.00001, so a
+0.851 ** 16 = 0.075 at width 2 and so at least one of 96 with 0.9994; at cosine
+0.95 with 0.99999. Unrelated vectors share one with 0.486 ** 16 = 0.00001, so a
 bucket holds about one stranger for each 100,000 vectors of a label; far larger
 labels ask for more projections and tables.
 """
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from cartwright.llm.graph import connected_components
 from cartwright.runtime import materialize
 
-TABLES = 48
+TABLES = 96
 PROJECTIONS = 16
 WIDTH = 2.0
 SEED = 11

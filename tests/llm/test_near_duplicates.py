@@ -204,3 +204,21 @@ def test_queries_over_the_test_tables(spark):
     want = components(ids, links)
     for r in QUERIES["op3_simhash_near_dedup"](spark, SF).collect():
         assert (r.fingerprint, r.component_id) == (f"{fps[r.doc_id]:016x}", want[r.doc_id])
+
+
+def test_embedding_tables_miss_few_pairs_at_the_threshold(spark):
+    """Of pairs at cosine 0.93 exactly, nearly all share a bucket under the production parameters."""
+    rng = np.random.default_rng(7)
+    n, size = 4000, 64
+    a = rng.standard_normal((n, size))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((n, size))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.93 * a + (1 - 0.93**2) ** 0.5 * b / np.linalg.norm(b, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate([*a, *b])]
+    signed = embeddings.bucket_signatures(
+        spark.createDataFrame(rows, "id long, embedding array<double>"), tables=embeddings.TABLES,
+        projections=embeddings.PROJECTIONS, width=embeddings.WIDTH, seed=embeddings.SEED,
+    )
+    buckets = np.array([r.buckets for r in signed.orderBy("id").collect()])
+    assert (buckets[:n] == buckets[n:]).any(axis=1).mean() > 0.997
