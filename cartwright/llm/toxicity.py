@@ -91,8 +91,9 @@ def mine_lexicon(
     ``min_z`` standard errors above it. Copies of one text would make all of
     its words candidates, so a word must also do so in the number of different
     words it follows. A beginning marks toxic texts if at least ``MIN_FAMILY``
-    different words with it, and nine of ten, were found in toxic texts alone. The ``max_entries`` best candidates are the size of
-    the model.
+    different words with it, and nine of ten, were found in toxic texts alone.
+    All candidates are tried; the ``max_entries`` best words that mark, and as
+    many beginnings, are the size of the model.
     """
     is_toxic = F.col("toxic") == 1
     totals = labelled.agg(F.count_if(is_toxic).alias("t"), F.count_if(~is_toxic).alias("c")).first()
@@ -110,17 +111,16 @@ def mine_lexicon(
             (F.col("odds") >= float(np.log(min_ratio))) & (F.col("z") >= min_z)
         )
 
-    candidates = [r["entry"] for r in marking(words).orderBy(F.desc("z"), "entry").limit(max_entries).collect()]
-    # At most ``max_entries`` words: small enough to send to every task.
-    known = F.broadcast(labelled.sparkSession.createDataFrame([(w,) for w in candidates], "entry string"))
+    candidates = materialize(marking(words).select("entry"), "candidates")
     contexts = (
         labelled.select("toxic", words_of.alias("w"))
         .select("toxic", F.inline(F.arrays_zip(F.concat(F.array(F.lit("")), "w").alias("before"), F.col("w").alias("entry"))))
-        .join(known, "entry", "left_semi")
         .groupBy("entry", "before").agg(F.max(is_toxic).alias("t"), F.max(~is_toxic).alias("c"))
+        .join(candidates, "entry", "left_semi")
         .groupBy("entry").agg(F.sum(F.col("t").cast("int")).alias("t"), F.sum(F.col("c").cast("int")).alias("c"))
     )
-    chosen = materialize(marking(contexts).select("entry"), "marking")
+    best = marking(contexts).orderBy(F.desc("z"), "entry").limit(max_entries)
+    chosen = materialize(best.select("entry"), "marking")
     beginnings = F.explode(F.array_distinct(F.array(*[F.substring("entry", 1, n) for n in PREFIX_LENGTHS])))
     only_toxic = ((F.col("t") > 0) & (F.col("c") == 0)).cast("int")
     prefixes = (

@@ -136,6 +136,16 @@ def test_toxicity_learns_from_every_training_label(spark, documents, monkeypatch
     assert seen == {"mined": 600, "modelled": 600, "fitted": 100}
 
 
+def test_words_of_copies_take_no_places_in_the_lexicon(spark):
+    """Words frequent through copies alone outrank the real ones, and go before the lexicon is cut."""
+    rng = random.Random(8)
+    clean = [(" ".join(rng.choices(["dan", "fert", "koll", "gusk", "bart", "bell", "besk"], k=12)), 0) for _ in range(300)]
+    copies = [(" ".join(f"copied{chr(97 + i)}x" for i in range(20)), 1)] * 80
+    real = [(" ".join([f"w{i}", "zarkon", f"v{i}", "blivet"]), 1) for i in range(40)]
+    labelled = spark.createDataFrame(clean + copies + real, "text string, toxic int")
+    assert set(toxicity.mine_lexicon(labelled, max_entries=5).words) == {"zarkon", "blivet"}
+
+
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     docs = documents(["you are an idiot", "a fine day", None])
