@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cartwright.llm import (
+    clusters,
+    divergence,
     embeddings,
     language,
     licenses,
@@ -18,6 +20,7 @@ from cartwright.llm import (
     packing,
     quality,
     simhash,
+    token_counts,
     toxicity,
     url_filter,
 )
@@ -98,6 +101,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.centroid_clusters(table(spark, sf_dir, "embeddings"), components=64, k=40, rounds=5, seed=2, scale=256)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), limit=1024)
+    return counted.select("row.doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -111,6 +127,7 @@ QUERIES = {
     for f in (
         op1_embedding_near_dedup, op2_best_fit_packing, op3_simhash_near_dedup, op4_license_scan, op5_mix_sources,
         op6_toxicity, op7_language_id, op8_line_dedup, op9_url_filter, op10_quality_rules,
+        op11_source_divergence, op12_centroid_clusters, op13_token_counts,
     )
 } | {"pipeline": corpus_pipeline.run}
 

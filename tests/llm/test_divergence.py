@@ -1,0 +1,108 @@
+"""Divergence of sources against plain counting with whole numbers of any size."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cartwright.llm import divergence
+
+WORDS = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def plain(rows, min_docs, top):
+    """The whole result from (doc_id, text, lang, source) rows."""
+    groups, docs = {}, {}
+    for _, text, lang, source in rows:
+        terms = [t.translate(LOWER) for t in WORDS.findall(text or "")]
+        groups.setdefault((lang or "", source or ""), Counter()).update(terms)
+        docs.setdefault(lang or "", Counter()).update(set(terms))
+    out = []
+    for lang in docs:
+        kept = [t for t, n in docs[lang].items() if n >= min_docs]
+        sides = {s: c for (l, s), c in groups.items() if l == lang}
+        everywhere = sum(sides.values(), Counter())
+
+        def priced(counts):
+            below = sum(counts[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (counts[t] + 5) // below for t in kept}
+
+        prices = {s: priced(c) for s, c in sides.items()}
+        common = priced(everywhere)
+        for s in sides:
+            pairs = [(o, sum(abs(prices[s][t] - prices[o][t]) for t in kept)) for o in sides if o != s]
+            terms = [(t, prices[s][t] - common[t]) for t in kept if sides[s][t] and prices[s][t] > common[t]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items.sort(key=lambda i: (-i[1], i[0].encode()))
+                ranked = enumerate(items[: top if part == "term" else None], 1)
+                out += [(lang, s, part, item, value, rank) for rank, (item, value) in ranked]
+    return sorted(out)
+
+
+def run(docs, **how):
+    return sorted(map(tuple, divergence.source_divergence(docs, **how).select("lang", "source", "part", "item", "value", "rank").collect()))
+
+
+ROWS = [
+    (1, "The cat, the dog; THE end", "en", "a"), (2, "the cat sat", "en", "a"), (3, "a dog sat", "en", "b"),
+    (4, "the the the the", "en", "b"), (5, "Élan élan été42x", "fr", "a"), (6, "été x", "fr", "b"), (6, "été x", "fr", "b"),
+    (7, None, "en", "c"), (8, "", "en", "d"), (9, "123 --- !", "de", "a"), (10, "dog", None, "a"), (11, "dog cat", None, None),
+    (12, "dog", "", "a"), (None, "cat dog sat", "en", "e"), (13, "sat " * 30_000, "en", "e"), (14, "lone", "xx", "only"),
+]
+
+
+@pytest.mark.parametrize("block, held", [(16_384, 400_000), (1, 1), (2, 3)])
+def test_equals_plain_counting(monkeypatch, documents, block, held):
+    monkeypatch.setattr(divergence, "BLOCK_TERMS", block)
+    monkeypatch.setattr(divergence, "HELD_TERMS", held)
+    docs = documents(ROWS, clash=("term", "n", "docs", "block", "id", "rank", "value"))
+    got = run(docs, min_docs=2, top=2)
+    assert got == plain(ROWS, 2, 2)
+    # Groups without terms, and languages without kept terms, have their pairs.
+    assert ("en", "c", "pair", "d", 0, 4) in got and not any(r[0] in ("de", "xx") for r in got)
+
+
+def test_languages_that_keep_nothing(documents):
+    got = run(documents(ROWS), min_docs=50)
+    assert got == plain(ROWS, 50, 50) and {r[4] for r in got} == {0}
+
+
+def test_empty_table(documents):
+    assert run(documents([])) == []
+
+
+def test_one_group_with_most_rows(documents):
+    rows = [(i, f"the word{i % 7} common{i % 3}", "en", "big" if i % 3 else f"s{i % 5}") for i in range(600)]
+    assert run(documents(rows).repartition(5)) == plain(rows, 30, 50)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.integers(0, 400)), st.sets(st.integers(0, 400)), st.integers(1, 5))
+def test_galloping_finds_common_numbers(a, b, few):
+    one, two = np.array(sorted(a), np.int64), np.array(sorted(b), np.int64)
+    before, divergence._GALLOP = divergence._GALLOP, few
+    try:
+        i, j = divergence.gallop(one, two)
+    finally:
+        divergence._GALLOP = before
+    assert one[i].tolist() == two[j].tolist() == sorted(a & b)
+
+
+@given(st.lists(st.integers(0, 10**14), min_size=1, max_size=20), st.integers(0, 10**6))
+def test_prices_are_exact(counts, extra):
+    below = sum(counts) + 5 * len(counts) + extra
+    assert divergence.prices(np.array(counts), below).tolist() == [1 + 10**9 * (c + 5) // below for c in counts]
+
+
+@given(st.dictionaries(st.integers(0, 60), st.integers(1, 9)), st.dictionaries(st.integers(0, 60), st.integers(1, 9)))
+def test_merge_prices_every_kind_of_term(a, b):
+    arrays = [(np.array(sorted(d), np.int64), np.array([d[k] for k in sorted(d)], np.int64)) for d in (a, b)]
+    below = [sum(d.values()) + 5 * 61 for d in (a, b)]
+    price = lambda d, t, k: 1 + 10**9 * (d.get(t, 0) + 5) // k
+    want = sum(abs(price(a, t, below[0]) - price(b, t, below[1])) for t in a.keys() | b.keys())
+    assert divergence.merge_price(*arrays, *below) == (want, len(a.keys() | b.keys()))
+    assert divergence.merge_price(*arrays[::-1], *below[::-1]) == (want, len(a.keys() | b.keys()))
