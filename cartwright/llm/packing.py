@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.llm.added_tokens import AddedTokens
 from cartwright.llm.text import whole
 from cartwright.runtime import materialize
 
@@ -54,7 +55,8 @@ class ByteLevelEncoder:
     which gives the same ids about five times as fast, once per distinct word
     as far as the memo goes: a word after a single space is encoded alike
     wherever it stands. Texts in which white space touches a space are encoded
-    whole. Strings of special tokens are ordinary text.
+    whole. Added tokens of the file, special ones included, are taken out of a
+    text first, as its library does by default.
     """
 
     def __init__(self, path: str):
@@ -77,11 +79,14 @@ class ByteLevelEncoder:
                     self[word] = ids
                 return ids
 
-        self._encode, self._memo = encode, Memo()
+        self._encode, self._memo, self._added = encode, Memo(), AddedTokens(path)
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
+        return b"".join(
+            part.to_bytes(4, "little") if isinstance(part, int) else self._plain(part) for part in self._added.parts(text)
+        )
+
+    def _plain(self, text: str) -> bytes:
         if _WIDE_SPACE.search(text):
             return np.array(self._encode(text), "<u4").tobytes()
         first, *rest = text.split(" ")

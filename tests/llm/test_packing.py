@@ -20,7 +20,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 @pytest.fixture(scope="module")
 def reference():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -34,18 +33,20 @@ def encode(text):
 
 
 ODD = "aZé's ,.!\n\t\r\x0b\x1c\x85\xa0 　😀<|endoftext|>0́中"
+MARK = "<|endoftext|>"
+LIBRARY = Tokenizer.from_file(PATH)
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.text(alphabet=st.sampled_from(ODD), max_size=40) | st.text(max_size=20))
+@given(st.lists(st.sampled_from([*ODD, MARK]), max_size=40).map("".join) | st.text(max_size=20))
 def test_ids_are_those_of_the_tokenizer(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize(
-    "text", ["", " ", "  a", "a  ", "a   b", " a b ", "<|endoftext|> x <|endoftext|>", "don't we'll", "x \n y\n\nz", "word " * 9000]
+    "text",
+    ["", " ", "  a", "a  ", "a   b", " a b ", "don't we'll", "x \n y\n\nz", "word " * 9000, MARK, MARK * 2, f"{MARK} x {MARK}",
+     f"a {MARK} b", f"a{MARK}b", f" {MARK}\n", f"<|end{MARK}oftext|>"],
 )
 def test_ids_of_odd_texts(reference, text):
     assert encode(text) == reference(text)
