@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 from cartwright.functions import labels as L
 from cartwright.functions import money
 from cartwright.operators import constraints as C
-from cartwright.operators import inventory, quality
+from cartwright.operators import deletion, inventory, quality
 from cartwright.operators.ranking import distributed_running_sum
 from cartwright.plans import cohorts, customers, finance, logistics, mart, payments, products
 from cartwright.plans import reports as R
@@ -387,6 +388,36 @@ def _delete_propagation(t: StarTables) -> DataFrame:
     )
 
 
+def _tables_with_category_tree(t: StarTables) -> dict[str, DataFrame]:
+    """All tables; category n lies below category n div 2."""
+    parent = F.expr("nullif(category_id div 2, 0)").alias("parent_category_id")
+    return t.all() | {"categories": t.categories().select("category_id", "category_name", parent)}
+
+
+def _closure(t: StarTables, references: list[deletion.Reference]) -> DataFrame:
+    tables = _tables_with_category_tree(t)
+    chosen = {
+        "customers": tables["customers"].filter("acquisition_channel = 'BUILDING'"),
+        "categories": tables["categories"].filter("category_id = 2"),
+    }
+    keys = {"order_items": "order_id"}
+    return deletion.delete_closure(tables, chosen, references=references, keys=keys).summary()
+
+
+def _delete_closure(t: StarTables) -> DataFrame:
+    """With the references of the schema: orders and products forbid the deletion."""
+    return _closure(t, deletion.schema_references())
+
+
+def _delete_closure_cascading(t: StarTables) -> DataFrame:
+    """A purge: subcategories, products and orders go as well; lines of deleted products forbid it."""
+    purged = ("parent_category_id", "category_id", "customer_id")
+    references = [
+        replace(r, action="cascade") if r.column in purged else r for r in deletion.schema_references()
+    ]
+    return _closure(t, references)
+
+
 # --------------------------------------------------------------- inventory
 
 
@@ -544,6 +575,8 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     "enforce_check": _enforce_check,
     "enforce_table_rules": _enforce_table_rules,
     "delete_propagation": _delete_propagation,
+    "delete_closure": _delete_closure,
+    "delete_closure_cascading": _delete_closure_cascading,
     # sources, sinks and the mart
     "load_csv": _load_csv,
     "load_tables": _load_tables,
