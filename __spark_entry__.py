@@ -30,7 +30,13 @@ from cartwright.sources import (
 from cartwright.sources.loading import LOAD_ORDER, load_tables, read_rejected
 from cartwright.sources.schemas import SCHEMAS
 from cartwright.sources.star_tables import LINE_ARRIVAL
-from cartwright.streaming import inventory_stream, monthly_stream, stock_levels
+from cartwright.streaming import (
+    inventory_stream,
+    monthly_buyers_stream,
+    monthly_stream,
+    read_monthly_buyers,
+    stock_levels,
+)
 from oracle import ORACLE
 from oracle.faults import FAULTS
 
@@ -509,6 +515,16 @@ def _monthly_stream(t: StarTables) -> DataFrame:
     return mart.read_mart(t.spark, root)
 
 
+def _monthly_buyers_stream(t: StarTables) -> DataFrame:
+    """Distinct buyers too; every fiftieth order comes after all others, whatever its month."""
+    root = fresh_path(t.spark, "monthly-buyers")
+    query = monthly_buyers_stream(
+        _slices(t.orders(), "order_date", "orders", late=LATE), root, f"{root}-checkpoint"
+    )
+    query.awaitTermination()
+    return read_monthly_buyers(t.spark, root)
+
+
 PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     # finance
     "monthly_kpis": _monthly_kpis,
@@ -599,6 +615,7 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     "inventory_stream": _inventory_stream,
     "stock_levels_stream": _stock_levels_stream,
     "monthly_stream": _monthly_stream,
+    "monthly_buyers_stream": _monthly_buyers_stream,
 }
 
 

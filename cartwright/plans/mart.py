@@ -1,28 +1,26 @@
-"""The monthly mart on disk: build, switch versions, refresh touched months.
-
-A refresh writes a complete new version aside, claims the next version number
-with a file that only one job can create, and moves the version into place.
-Readers take the newest version in place, so they see the old mart or the new
-one and never a mixture. Of two jobs that started from the same version one
-publishes and the other is told to start again. The mart holds one row per
-calendar month, so writing it whole is cheap even when only one month changed.
+"""The monthly mart on disk: build, publish, refresh touched months.
+
+A published mart is a ``PublishedTable`` with one part per calendar month: a
+refresh writes files aside and then makes them the newest version by creating
+one manifest. Readers see the old mart or the new one and never a mixture, on
+object stores too. Months that a refresh does not touch keep their files.
 """
 
 from __future__ import annotations
 
 import datetime
-import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.functions import month_start
 from cartwright.plans.finance import monthly_mart
+from cartwright.sources.published import ConcurrentRefresh, PublishedTable
 
-
-class ConcurrentRefresh(RuntimeError):
-    """Another job published first; nothing of this refresh is visible."""
+__all__ = [
+    "ConcurrentRefresh", "current_version", "mart_table", "prune_mart", "publish", "publish_mart", "read_mart",
+    "refresh_mart", "refresh_mart_incremental", "write_mart",
+]
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
@@ -30,83 +28,42 @@ def write_mart(mart: DataFrame, path: str) -> None:
     mart.repartition(1).write.mode("overwrite").parquet(path)
 
 
-def _files(spark: SparkSession, path: str):
-    """The store of ``path`` and its path type."""
-    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return new_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new_path
-
-
-def _numbers(spark: SparkSession, root: str, prefix: str) -> list[int]:
-    store, new_path = _files(spark, root)
-    if not store.exists(new_path(root)):
-        return []
-    names = [s.getPath().getName() for s in store.listStatus(new_path(root))]
-    return [int(n.removeprefix(prefix)) for n in names if n.startswith(prefix)]
+def mart_table(spark: SparkSession, root: str) -> PublishedTable:
+    return PublishedTable(spark, root, "sales_month")
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
     """Newest published version, or None before the first one."""
-    return max(_numbers(spark, root, "version="), default=None)
-
-
-def read_mart(spark: SparkSession, root: str) -> DataFrame:
-    """The published mart."""
-    version = current_version(spark, root)
-    if version is None:
-        raise FileNotFoundError(f"no mart was published at {root}")
-    return spark.read.parquet(_version_path(root, version))
-
+    return max(mart_table(spark, root).versions(), default=None)
 
-def _version_path(root: str, version: int) -> str:
-    return f"{root}/version={version}"
 
-
-def _claim(spark: SparkSession, root: str, version: int) -> bool:
-    """Take a version number; only one job gets it."""
-    store, new_path = _files(spark, root)
-    try:
-        store.create(new_path(f"{root}/claim={version}"), False).close()
-    except Py4JJavaError as refused:
-        if "FileAlreadyExists" in refused.java_exception.getClass().getName():
-            return False
-        raise
-    return True
+def read_mart(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The published mart; an older ``version`` can be read until it is pruned."""
+    return mart_table(spark, root).read(version)
 
 
 def publish(spark: SparkSession, mart: DataFrame, root: str, base: int | None = None) -> int:
-    """Write ``mart`` as the next version, check it, and switch readers to it.
+    """Write ``mart`` as the next version, check that months are unique, and switch readers to it.
 
     ``base`` is the version that the mart was made from (by default the newest
-    one now). A number that was claimed by a job that died is skipped.
+    one now); if another one has been published since, this one is refused.
     """
-    if base is None:
-        base = current_version(spark, root) or 0
-    aside = f"{root}/_aside-{uuid.uuid4().hex}"
-    write_mart(mart, aside)
-    months = spark.read.parquet(aside).groupBy("sales_month").count()
-    repeated = months.filter(F.col("count") > 1)
-    store, new_path = _files(spark, root)
-    if not repeated.isEmpty():
-        store.delete(new_path(aside), True)
-        raise ValueError("the mart holds a month twice; the version was not published")
-    version = max([base, *_numbers(spark, root, "claim=")]) + 1
-    claimed = _claim(spark, root, version)
-    if not claimed or (current_version(spark, root) or 0) != base:
-        store.delete(new_path(aside), True)
-        raise ConcurrentRefresh(f"version {base} is no longer the newest at {root}")
-    store.rename(new_path(aside), new_path(_version_path(root, version)))
-    return version
+    return mart_table(spark, root).replace(mart, base=base, unique=True)
 
 
 def publish_mart(spark: SparkSession, orders: DataFrame, items: DataFrame, root: str) -> int:
     """Rebuild the whole mart and switch readers to it."""
-    base = current_version(spark, root) or 0
-    return publish(spark, monthly_mart(orders, items), root, base)
+    return publish(spark, monthly_mart(orders, items), root, current_version(spark, root) or 0)
 
 
 refresh_mart = publish_mart
 
 
+def prune_mart(spark: SparkSession, root: str, *, keep: int = 2) -> int:
+    """Delete all versions but the newest ``keep``; returns how many."""
+    return mart_table(spark, root).prune(keep=keep)
+
+
 def refresh_mart_incremental(
     spark: SparkSession,
     orders: DataFrame,
@@ -114,12 +71,13 @@ def refresh_mart_incremental(
     changed_orders: DataFrame,
     root: str,
 ) -> list[datetime.date]:
-    """Recompute only the months that ``changed_orders`` touch.
+    """Recompute and rewrite only the months that ``changed_orders`` touch.
 
     Pass old and new images of an order whose date moved. Distinct buyers do
     not add up, so a touched month is computed again from all its orders; the
-    date bounds reach the scan of orders. Returns the months, which are
-    bounded by the calendar.
+    date bounds reach the scan of orders. Other months are neither read nor
+    written, and refreshes of other months may run at the same time. Returns
+    the months, which are bounded by the calendar.
     """
     touched = [
         row[0]
@@ -130,6 +88,10 @@ def refresh_mart_incremental(
     ]
     if not touched:
         return []
+    table = mart_table(spark, root)
+    base = table.manifest()
+    if base is None:
+        raise FileNotFoundError(f"no mart was published at {root}")
     kind = orders.schema["order_date"].dataType
     last = max(touched)
     after = (last.replace(day=1) + datetime.timedelta(days=32)).replace(day=1)
@@ -141,10 +103,5 @@ def refresh_mart_incremental(
     )
     # Lines of other months are dropped before they are summed per order.
     lines = items.join(affected.select("order_id"), "order_id", "left_semi")
-    base = current_version(spark, root)
-    if base is None:
-        raise FileNotFoundError(f"no mart was published at {root}")
-    stored = spark.read.parquet(_version_path(root, base))
-    kept = stored.filter(~F.col("sales_month").isin(touched))
-    publish(spark, kept.unionByName(monthly_mart(affected, lines)), root, base)
+    table.replace_parts(monthly_mart(affected, lines), touched, base=base, unique=True)
     return sorted(touched)

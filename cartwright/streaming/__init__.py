@@ -1,4 +1,11 @@
 from cartwright.streaming.inventory import inventory_stream, stock_levels
-from cartwright.streaming.monthly import monthly_stream, monthly_totals
+from cartwright.streaming.monthly import (
+    monthly_buyers_stream,
+    monthly_stream,
+    monthly_totals,
+    read_monthly_buyers,
+)
 
-__all__ = ["inventory_stream", "monthly_stream", "monthly_totals", "stock_levels"]
+__all__ = [
+    "inventory_stream", "monthly_buyers_stream", "monthly_stream", "monthly_totals", "read_monthly_buyers", "stock_levels",
+]

@@ -1,7 +1,6 @@
 """CSV files, the bulk load, layouts and the versioned mart."""
 
 import datetime
-import os
 from decimal import Decimal
 
 import pytest
@@ -147,9 +146,8 @@ def test_second_of_two_publishers_is_refused(spark):
     assert mart.publish(spark, rows, root, base=1) == 2
     with pytest.raises(mart.ConcurrentRefresh):
         mart.publish(spark, rows, root, base=1)
-    # The number that the refused job claimed is skipped.
     assert mart.current_version(spark, root) == 2
-    assert mart.publish(spark, rows, root) == 4
+    assert mart.publish(spark, rows, root) == 3
 
 
 def test_repeated_month_is_not_published(spark):
@@ -190,4 +188,4 @@ def test_incremental_refresh_equals_rebuild(spark):
         finance.monthly_mart(moved, items)
     )
     assert mart.refresh_mart_incremental(spark, moved, items, changed.limit(0), root) == []
-    assert os.path.isdir(f"{root}/version=2")
+    assert mart.current_version(spark, root) == 2
