@@ -45,9 +45,14 @@ def _valid(vector: str = "embedding"):
 
 
 def distinct_vectors(vectors: DataFrame) -> DataFrame:
-    """(label, embedding, id, copies): equal vectors of a label as one row."""
+    """(label, embedding, vec_id, copies, id): equal vectors of a label as one row, with its smallest vec_id.
+
+    ``id`` numbers the rows; the result must be stored before it is used, so
+    that the numbers stay.
+    """
     usable = vectors.filter(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & _valid())
-    return usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
+    classes = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
+    return classes.withColumn("id", F.monotonically_increasing_id())
 
 
 def bucket_signatures(reps: DataFrame, *, tables: int, projections: int, width: float, seed: int) -> DataFrame:
@@ -216,6 +221,12 @@ def embedding_links(
     return groups.mapInArrow(compare, "id long, links long, root long")
 
 
+def _same_id(members: DataFrame) -> DataFrame:
+    """Edges (a, b) between the classes of different vectors that one vec_id has."""
+    first = members.groupBy("vec_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).filter("a < last")
+    return members.join(first, "vec_id").filter("id > a").select("a", F.col("id").alias("b")).distinct()
+
+
 def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, **index) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label).
 
@@ -225,32 +236,37 @@ def near_duplicate_vectors(vectors: DataFrame, *, threshold: float = 0.93, **ind
     a null id, link with nothing. ``n_links`` counts every other linked row,
     copies included; ``component_id`` is the smallest id reachable by links.
     A row is kept if it has that id.
+
+    Rows may repeat an id, with the same vector or another: each row counts
+    its own vector's links, and as an id is one document, all its rows are in
+    one component, whatever their labels.
     """
     reps = materialize(distinct_vectors(vectors), "distinct-vectors")
     found = materialize(embedding_links(reps, threshold=threshold, **index), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    groups = connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    classes = (
-        reps.join(links, "id", "left").join(groups, F.col("id") == F.col("node"), "left")
-        .select(
-            F.col("label").alias("class_label"),
-            F.col("embedding").alias("class_embedding"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("class_links"),
-            F.coalesce("component", "id").alias("class_component"),
-        )
-    )
-    # Every usable row meets its class by label and vector; the others by nothing.
+    # Every usable row meets its class by label and vector; the others by nothing. Vectors move no further.
     usable = F.col("vec_id").isNotNull() & _valid()
     rows = vectors.select("vec_id", "label", F.when(usable, F.col("embedding")).alias("embedding"))
-    joined = rows.join(
-        classes,
-        (F.col("label") == F.col("class_label")) & (F.col("embedding") == F.col("class_embedding")),
-        "left",
+    classes = reps.select(
+        "id", F.col("label").alias("class_label"), F.col("embedding").alias("class_embedding"), "copies"
+    )
+    same = (F.col("label") == F.col("class_label")) & (F.col("embedding") == F.col("class_embedding"))
+    members = materialize(rows.join(classes, same, "left").select("vec_id", "id", "copies"), "members")
+    edges = found.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    groups = connected_components(edges.unionByName(_same_id(members.filter("id IS NOT NULL"))))
+    placed = reps.select("id", "vec_id").join(groups, F.col("id") == F.col("node"), "left")
+    placed = materialize(placed.select("id", "vec_id", F.coalesce("component", "id").alias("component")), "groups")
+    smallest = placed.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    answers = (
+        placed.join(smallest, "component").select("id", "component_id").join(links, "id", "left")
+        .select(F.col("id").alias("class_id"), "component_id", F.coalesce("links", F.lit(0)).alias("links"))
     )
-    component = F.coalesce("class_component", "vec_id")
+    joined = members.join(answers, F.col("id") == F.col("class_id"), "left")
+    component = F.coalesce("component_id", "vec_id")
+    others = F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))
     return joined.select(
         "vec_id",
-        F.coalesce("class_links", F.lit(0)).cast("long").alias("n_links"),
+        others.cast("long").alias("n_links"),
         component.cast("long").alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
     )

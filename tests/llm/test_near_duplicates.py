@@ -143,6 +143,20 @@ def _near(rng, vector, noise):
     return [float(x + rng.gauss(0, noise)) for x in vector]
 
 
+def test_ids_with_several_vectors(spark):
+    """Links are counted per row; all rows of an id are in one component, whatever vectors and labels they have."""
+    rng = np.random.default_rng(4)
+    v, far, other = (rng.normal(size=16).tolist() for _ in range(3))
+    near = (np.array(v) + 0.01 * rng.normal(size=16)).tolist()
+    schema = "vec_id long, embedding array<double>, label int"
+    run = lambda rows: sorted(map(tuple, embeddings.near_duplicate_vectors(spark.createDataFrame(rows, schema)).collect()))
+    assert run([(1, v, 0), (1, near, 0), (2, far, 0)]) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True)]
+    assert run([(5, v, 0), (5, far, 0), (3, near, 0), (4, far, 0), (4, far, 0), (9, other, 1)]) == [
+        (3, 1, 3, True), (4, 2, 3, False), (4, 2, 3, False), (5, 1, 3, False), (5, 2, 3, False), (9, 0, 9, True),
+    ]
+    assert run([(7, v, 0), (7, v, 1), (6, near, 1)]) == [(6, 1, 6, True), (7, 0, 6, False), (7, 1, 6, False)]
+
+
 def test_embedding_links(spark):
     rng = random.Random(5)
     rows = []
