@@ -140,22 +140,23 @@ def train_prototypes(docs: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[s
 
 
 def identify(docs: DataFrame, prototypes: dict[str, list[float]], *, dimensions: int = DIMENSIONS) -> DataFrame:
-    """``row`` (all input columns), ``lang_pred`` and ``score`` for every row of ``docs``.
+    """``row`` (all input columns), ``lang_pred``, ``score`` and ``cosines`` for every row of ``docs``.
 
     ``score`` is the cosine with the predicted language's prototype, at least
-    0. A null text, one without a letter, and any text if there are no
-    prototypes are ``und`` with score 0. Ties go to the language that comes
-    first by code point.
+    0; ``cosines`` are those with all prototypes, languages by code point. A
+    null text, one without a letter, and any text if there are no prototypes
+    are ``und`` with score 0 and no cosines. Ties go to the language that
+    comes first by code point.
     """
     names = sorted(prototypes)
     matrix = np.array([prototypes[n] for n in names]).reshape(len(names), dimensions)
     matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, cosines array<double>")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(dimensions)
         for texts in batches:
-            langs, scores = [], []
+            langs, scores, all_cosines = [], [], []
             for text in texts:
                 codes, counts = encoder.grams(text)
                 bundle = encoder.bundle(codes, counts)
@@ -163,13 +164,54 @@ def identify(docs: DataFrame, prototypes: dict[str, list[float]], *, dimensions:
                 if not len(names) or not norm:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
+                    all_cosines.append([])
                     continue
                 cosines = matrix @ bundle / norm
                 best = int(np.argmax(cosines))
                 langs.append(names[best])
                 scores.append(min(1.0, max(0.0, float(cosines[best]))))
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+                all_cosines.append(cosines.tolist())
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "cosines": all_cosines})
 
     return docs.select(packed(docs).alias("row"), predict(whole()).alias("found")).select(
-        "row", "found.lang_pred", "found.score"
+        "row", "found.lang_pred", "found.score", "found.cosines"
+    )
+
+
+def judge_labels(
+    found: DataFrame, languages: list[str], *, foreign_share: float = 0.25, lead_share: float = 0.5
+) -> DataFrame:
+    """``found`` (of ``identify``, stored) with ``foreign`` and ``relabelled``, by bounds learnt from it.
+
+    Texts are compared with those of the same predicted language and order of
+    length. ``foreign``: undetermined, or a score below ``foreign_share`` of
+    the first quartile there: none of the languages. ``relabelled``: the text is nearer to
+    the predicted language than to that of its label by more than ``lead_share``
+    of the median lead that well-labelled texts have there, or has no label of a
+    known language. Half of the labels may be wrong without moving the bounds
+    much. ``languages`` are those of the prototypes.
+
+    What is learnt is one row per language and power of two of the length.
+    """
+    order = sorted(languages)
+    cosine_of = lambda lang: F.try_element_at("cosines", F.array_position(F.lit(order), lang).cast("int"))
+    own = F.when(F.array_contains(F.lit(order), F.col("row.lang")), cosine_of(F.col("row.lang")))
+    runner_up = F.array_max(F.filter("cosines", lambda c, i: i != F.array_position(F.lit(order), F.col("lang_pred")) - 1))
+    size = F.floor(F.log2(F.greatest(F.length("row.text"), F.lit(1)))).cast("int")
+    sized = found.withColumns({"__size": size, "__lead": F.coalesce(F.col("score") - runner_up, F.col("score")), "__own": own})
+    learnt = (
+        sized.filter(F.col("lang_pred") != UNDETERMINED).groupBy("lang_pred", "__size")
+        .agg(
+            F.percentile_approx("score", 0.25).alias("__low"),
+            F.percentile_approx(F.when(F.col("row.lang") == F.col("lang_pred"), F.col("__lead")), 0.5).alias("__usual"),
+        )
+        .withColumnsRenamed({"lang_pred": "__lang", "__size": "__of_size"})
+    )
+    joined = sized.join(learnt, (F.col("lang_pred") == F.col("__lang")) & (F.col("__size") == F.col("__of_size")), "left")
+    undetermined = F.col("lang_pred") == UNDETERMINED
+    away = (F.col("score") - F.col("__own")) > lead_share * F.coalesce("__usual", F.lit(float("inf")))
+    return joined.select(
+        *found.columns,
+        (undetermined | F.coalesce(F.col("score") < foreign_share * F.col("__low"), F.lit(False))).alias("foreign"),
+        (~undetermined & (F.col("__own").isNull() | ((F.col("row.lang") != F.col("lang_pred")) & away))).alias("relabelled"),
     )
