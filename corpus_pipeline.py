@@ -13,23 +13,29 @@ from pyspark.sql import functions as F
 from cartwright.llm import language, line_dedup, mixing, packing, simhash
 from cartwright.llm.shipping import ship_package
 from cartwright.llm.text import packed, table, unpacked
-from cartwright.runtime import fresh_path
+from cartwright.runtime import delete, fresh_path, materialize, temporary_tables
 
 #: Packing and language vectors have no SQL form; tests hold the stages against plain versions.
 ORACLE_SQL = None
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: those without a letter, which language ID calls undetermined.
+    """Drop documents in no language that these documents teach, and put wrong labels right.
 
-    The prototypes are learnt from these documents. If there is nothing to
-    learn from, a document is undetermined only by its text.
+    The prototypes are learnt from all labelled documents. Texts without a
+    letter, and texts unlike those of any language for their length, go.
+    ``lang`` becomes the predicted language where there is no label of a learnt
+    language, or the text is clearly in another one. If there is nothing to
+    learn from, a document goes only if it has no letter.
     """
     ship_package(spark)
     prototypes = language.train_prototypes(docs)
-    found = language.identify(docs, prototypes)
-    rejected = F.col("lang_pred") == language.UNDETERMINED if prototypes else ~F.coalesce("row.text", F.lit("")).rlike(r"\p{L}")
-    return unpacked(found.filter(~rejected), "row")
+    if not prototypes:
+        return docs.filter(F.coalesce("text", F.lit("")).rlike(r"\p{L}"))
+    found = materialize(language.identify(docs, prototypes), "identified")
+    judged = language.judge_labels(found, list(prototypes)).filter(~F.col("foreign"))
+    label = F.when(F.col("relabelled"), F.col("lang_pred")).otherwise(F.col("row.lang"))
+    return unpacked(judged, "row", {"lang": label})
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,9 +79,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages. A stage's own tables go when its result is stored, and its result when the next one's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with temporary_tables(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
