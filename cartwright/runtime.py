@@ -9,17 +9,28 @@ lost executor costs a re-read and nothing else.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the tables made inside each open ``temporary_tables``.
+_temporary: list[list[str]] = []
+
 
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables of this application.
 
     ``spark.checkpoint.dir`` names it. Where that is unset, the tables go below
-    the warehouse, which all executors of a session share as well.
+    the warehouse, which all executors of a session share as well; a warehouse
+    on a machine's own disk is refused if there is more than one machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and urlparse(root).scheme in ("", "file"):
+            raise RuntimeError(f"executors may not share {root}: set spark.checkpoint.dir to a folder that they do")
     return f"{root.rstrip('/')}/cartwright-{spark.sparkContext.applicationId}"
 
 
@@ -34,6 +45,17 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside are deleted at the end; store what is made of them before."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        for path in _temporary.pop():
+            delete(spark, path)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -42,5 +64,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     spark = df.sparkSession
     path = fresh_path(spark, label)
+    if _temporary:
+        _temporary[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
