@@ -207,7 +207,8 @@ def judge_labels(
         )
         .withColumnsRenamed({"lang_pred": "__lang", "__size": "__of_size"})
     )
-    joined = sized.join(learnt, (F.col("lang_pred") == F.col("__lang")) & (F.col("__size") == F.col("__of_size")), "left")
+    # So few rows whatever the corpus: texts stay where they are, and most of them share one key.
+    joined = sized.join(F.broadcast(learnt), (F.col("lang_pred") == F.col("__lang")) & (F.col("__size") == F.col("__of_size")), "left")
     undetermined = F.col("lang_pred") == UNDETERMINED
     away = (F.col("score") - F.col("__own")) > lead_share * F.coalesce("__usual", F.lit(float("inf")))
     return joined.select(
