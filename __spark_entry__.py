@@ -27,8 +27,8 @@ from cartwright.sources import (
     write_orders_by_customer,
     write_orders_by_status,
 )
-from cartwright.sources.loading import LOAD_ORDER, load_tables, read_rejected
-from cartwright.sources.schemas import SCHEMAS
+from cartwright.sources.loading import LOAD_ORDER, REJECTED_LINE, UNREADABLE, load_tables, read_rejected
+from cartwright.sources.schemas import DEFAULTS, NOW, SCHEMAS
 from cartwright.sources.star_tables import LINE_ARRIVAL
 from cartwright.streaming import (
     inventory_stream,
@@ -209,6 +209,75 @@ def _load_tables(t: StarTables) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+#: Lines that cannot be read, by table: which rows they are, the column and what stands in it.
+UNREADABLE_LINES = {
+    "customers": ("customer_id % 83 = 5", "created_at", "yesterday"),
+    "products": ("product_id % 79 = 5", "sale_price", "12,50 EUR"),
+    "orders": ("order_id % 97 = 5", "total_amount", "n/a"),
+    "order_items": ("order_id % 89 = 5", "quantity", "many"),
+    "payments": ("order_id % 101 = 5", "payment_id", "#"),
+    "reviews": ("review_id % 73 = 5", "rating", "good"),
+}
+
+
+def _load_tables_quarantined(t: StarTables) -> DataFrame:
+    """The bulk load of files with unreadable lines: accepted, rejected and, of these, unreadable rows."""
+    path = fresh_path(t.spark, "quarantine")
+    for name, table in _csv_tables(t).items():
+        if name in UNREADABLE_LINES:
+            rows, column, text = UNREADABLE_LINES[name]
+            kind = table.schema[column].dataType
+            value = F.col(column)
+            if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+                value = F.date_format(value, "yyyy-MM-dd HH:mm:ss'+00'")
+            table = table.withColumn(column, F.when(F.expr(rows), text).otherwise(value.cast("string")))
+        write_csv(table, f"{path}/in/{name}.csv")
+    loaded = load_tables(t.spark, f"{path}/in", f"{path}/out", quarantine=True)
+    counts = []
+    for name, table in loaded.items():
+        refused = read_rejected(t.spark, f"{path}/out", name, table.schema)
+        unread = F.array_contains(C.REASONS, UNREADABLE) & F.col(REJECTED_LINE).isNotNull()
+        rows = table.select(F.lit(True).alias("ok"), F.lit(False).alias("unread"))
+        rows = rows.unionByName(refused.select(F.lit(False).alias("ok"), unread.alias("unread")))
+        counts.append(
+            rows.agg(
+                F.count_if("ok").alias("accepted"),
+                F.count_if(~F.col("ok")).alias("rejected"),
+                F.count_if("unread").alias("unreadable"),
+            ).select(F.lit(name).alias("table_name"), "*")
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _load_defaults(t: StarTables) -> DataFrame:
+    """What stands in each defaulted column, after a load of files that leave it blank in every tenth row.
+
+    A default of the load's own time reads as "now".
+    """
+    path = fresh_path(t.spark, "defaults")
+    found = []
+    for name, table in _csv_tables(t).items():
+        if not DEFAULTS[name]:
+            continue
+        key = table.columns[0]
+        blank = {c: F.when(F.col(key) % 10 != 3, F.col(c)) for c in DEFAULTS[name]}
+        write_csv(table.withColumns(blank), f"{path}/{name}.csv")
+        loaded = load_csv(t.spark, f"{path}/{name}.csv", name).filter(F.col(key) % 10 == 3)
+
+        def value(column: str):
+            if DEFAULTS[name][column] is not NOW:
+                return F.col(column).cast("string")
+            age = F.unix_seconds(F.current_timestamp()) - F.unix_seconds(column)
+            return F.when(F.abs(age) < 86400, "now").otherwise("another time")
+
+        entries = [F.struct(F.lit(c).alias("column_name"), value(c).alias("value")) for c in DEFAULTS[name]]
+        found.append(
+            loaded.select(F.inline(F.array(*entries))).groupBy("column_name", "value").agg(F.count("*").alias("n_rows"))
+            .select(F.lit(name).alias("table_name"), "*")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 def _write_csv(t: StarTables) -> DataFrame:
     path = fresh_path(t.spark, "products-csv")
     table = t.products()
@@ -583,6 +652,8 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     "dq_scorecard": lambda t: quality.dq_scorecard(t.all(), AS_OF),
     "dq_orphans_seeded": lambda t: quality.dq_orphans(_seeded(t)),
     "dq_checks_seeded": lambda t: quality.dq_checks(_seeded(t), AS_OF),
+    # By the clock: planted dates are decades away from it on both sides.
+    "dq_checks_by_clock": lambda t: quality.dq_checks(_seeded(t)),
     "dq_duplicates_seeded": lambda t: quality.dq_duplicates(_seeded(t)),
     "dq_scorecard_seeded": lambda t: quality.dq_scorecard(_seeded(t), AS_OF),
     "enforce_not_null": _enforce_not_null,
@@ -596,6 +667,8 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
     # sources, sinks and the mart
     "load_csv": _load_csv,
     "load_tables": _load_tables,
+    "load_tables_quarantined": _load_tables_quarantined,
+    "load_defaults": _load_defaults,
     "load_generated_column": _load_generated_column,
     "write_csv": _write_csv,
     "write_mart": _write_mart,

@@ -11,7 +11,14 @@ from cartwright.plans import finance, logistics, mart
 from cartwright.runtime import fresh_path
 from cartwright.sources import load_csv, write_csv, write_orders_by_customer, write_orders_by_status
 from cartwright.sources.csv_files import CORRUPT
-from cartwright.sources.loading import LOAD_ORDER, load_tables, read_rejected
+from cartwright.sources.loading import (
+    LOAD_ORDER,
+    REJECTED_FILE,
+    REJECTED_LINE,
+    UNREADABLE,
+    load_tables,
+    read_rejected,
+)
 from tables import clean_tables, day, frame
 
 
@@ -83,6 +90,29 @@ def test_bulk_load(spark, tmp_path):
     assert again["orders"].count() == 2 and mart.current_version(spark, f"{out}/mart") == 2
 
 
+def test_lines_in_quarantine(spark, tmp_path):
+    """Lines of the wrong type or length are rejected rows; accepted and rejected rows are all lines."""
+    for name, rows in clean_tables(spark).items():
+        if name != "categories":
+            write_csv(rows.drop("total_price"), str(tmp_path / f"{name}.csv"))
+    lines = ["1,A,,", "x,B,,", "3", "4,D,,,,", '5,"E,,', "6,,,", "7,A,,", "8,H,,tall"]
+    _file(tmp_path / "categories.csv", "category_id,category_name,parent_category_id,description\n" + "\n".join(lines) + "\n")
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        load_tables(spark, str(tmp_path), out)
+    loaded = load_tables(spark, str(tmp_path), out, quarantine=True)["categories"]
+    assert loaded.columns == ["category_id", "category_name", "parent_category_id", "description"]
+    assert [r.category_id for r in loaded.collect()] == [8]
+    rejected = read_rejected(spark, out, "categories", loaded.schema).collect()
+    assert len(rejected) + 1 == len(lines)
+    unread = {r[REJECTED_LINE]: r for r in rejected if r[REASONS] == [UNREADABLE]}
+    assert {"x,B,,", "3", "4,D,,,,"} <= set(unread)
+    assert all(r[REJECTED_FILE].endswith("categories.csv") and r.category_id is None for r in unread.values())
+    others = {r.category_id: r[REASONS] for r in rejected if r[REJECTED_LINE] is None}
+    # An unreadable line does not make another one's key ambiguous; A stands twice in lines that can be read.
+    assert others[6] == ["category_name is missing"] and others[1] == others[7] == ["category_name is not unique"]
+
+
 def test_ids_beyond_32_bits(spark, tmp_path):
     big = 1 << 40
     path = _file(
