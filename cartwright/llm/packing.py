@@ -16,6 +16,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ END = 2
 #: Pieces per hash bucket while they are ranked.
 BUCKET_ROWS = 50_000
 #: A worker remembers the ids of this many words; others are encoded each time they occur.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 150_000
 
 #: Fixed value: how the byte-level vocabulary cuts a text before merging.
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -94,6 +95,12 @@ class ByteLevelEncoder:
         return b"".join([np.array(self._encode(first), "<u4").tobytes(), *[memo[w] for w in rest]])
 
 
+@cache
+def _encoder(path: str) -> ByteLevelEncoder:
+    """One encoder and one memo for all tasks of a worker."""
+    return ByteLevelEncoder(path)
+
+
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of each piece. Only the first piece of a long document may be shorter than the capacity."""
     first = n_ids if n_ids <= capacity else n_ids % capacity or capacity
@@ -118,7 +125,7 @@ def token_pieces(
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last = ByteLevelEncoder(tokenizer), np.array([end], "<u4").tobytes()
+        encode, last = _encoder(tokenizer), np.array([end], "<u4").tobytes()
         for batch in batches:
             row_of, piece, start, length, crc, tokens = [], [], [], [], [], []
             for row, text in enumerate(batch.column(1)):
