@@ -1,8 +1,9 @@
 """URL filter lists: host-suffix and path-prefix expressions against hashed rules.
 
-Each URL is expanded into the (host suffix, path prefix) pairs that some rule
-could have, their digests meet the rules in an equi-join on a short hash
-prefix, the full digest confirms a match, and the longest rule decides.
+Each URL is expanded into host suffixes, which meet the hosts of the rules, and
+then into the path prefixes that these hosts' rules could have. Either time the
+digests meet in an equi-join on a short hash prefix and the full digest confirms
+a match; the longest rule decides.
 """
 
 from __future__ import annotations
@@ -45,6 +46,10 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(F.length(host).cast("string"), F.lit("\t"), host, path), 256)
 
 
+def _labels(host: Column) -> Column:
+    return F.when(host == "", 0).otherwise(F.size(F.split(host, r"\.")))
+
+
 def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default: str = ALLOW) -> DataFrame:
     """Host, path, deciding rule and verdict of every row, whose columns come back in ``row``.
 
@@ -55,10 +60,11 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
     empty host and path and fits no rule, unless a rule has both empty.
 
     The verdict depends on host and path alone, so each pair is judged once,
-    however often it occurs. URLs are expanded only to host depths and path
-    lengths that the rules have; these shapes (at most the distinct label
-    counts times the distinct path lengths) are read from the rules. The rule
-    side is broadcast only if Spark finds it small enough.
+    however often it occurs. Its host suffixes meet the rules' hosts first, and
+    only the path prefixes that the hosts it met ask for are tried after that:
+    the work grows with the matches, not with the rules. The driver reads the
+    distinct label counts of the rules' hosts (at most 127 for names that DNS
+    allows). A rule side is broadcast only if Spark finds it small enough.
     """
     listed = rules.select(
         ascii_lower(F.coalesce("host", F.lit(""))).alias("rule_host"),
@@ -66,39 +72,37 @@ def judge_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", default:
         F.col("verdict").alias("rule_verdict"),
     ).select("*", _digest(F.col("rule_host"), F.col("rule_path")).alias("rule_digest"))
     listed = listed.withColumn("rule_short", F.substring("rule_digest", 1, SHORT))
-    shapes = (
-        listed.select(
-            F.when(F.col("rule_host") == "", 0).otherwise(F.size(F.split("rule_host", r"\."))).alias("labels"),
-            F.length("rule_path").alias("chars"),
-        )
-        .distinct()
-        .orderBy("labels", "chars")
-        .collect()
+    # One row per host of the rules, with the path lengths that its rules have.
+    hosts = (
+        listed.groupBy("rule_host").agg(F.collect_set(F.length("rule_path")).alias("path_lengths"))
+        .select("path_lengths", F.sha2("rule_host", 256).alias("host_digest"))
+        .withColumn("host_short", F.substring("host_digest", 1, SHORT))
     )
+    label_counts = [r.n for r in listed.select(_labels(F.col("rule_host")).alias("n")).distinct().orderBy("n").collect()]
     rows = pages.select(
         packed(pages).alias("row"), url_host(F.col(f"`{url}`")).alias("host"), url_path(F.col(f"`{url}`")).alias("path")
     )
+    if not label_counts:
+        return rows.select("row", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     targets = rows.select(F.col("host").alias("t_host"), F.col("path").alias("t_path")).distinct()
-    expressions = F.array(
-        *[
-            F.struct(
-                (F.lit("") if s.labels == 0 else F.substring_index("t_host", ".", -s.labels)).alias("suffix"),
-                F.substring("t_path", 1, s.chars).alias("prefix"),
-                F.lit(s.labels).alias("labels"),
-                F.lit(s.chars).alias("chars"),
-            )
-            for s in shapes
-        ]
+    # The empty host is nobody's parent.
+    fitting = F.filter(
+        F.array(*map(F.lit, label_counts)),
+        lambda n: F.when(n == 0, F.col("n_labels") == 0).otherwise(n <= F.col("n_labels")),
     )
-    if not shapes:
-        return rows.select("row", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    n_labels = F.when(F.col("t_host") == "", 0).otherwise(F.size(F.split("t_host", r"\.")))
+    suffixes = (
+        targets.withColumn("n_labels", _labels(F.col("t_host")))
+        .select("t_host", "t_path", F.explode(fitting).alias("labels"))
+        .withColumn("suffix", F.expr("if(labels = 0, '', substring_index(t_host, '.', -labels))"))
+        .withColumn("suffix_digest", F.sha2("suffix", 256))
+        .withColumn("suffix_short", F.substring("suffix_digest", 1, SHORT))
+    )
+    reachable = F.filter("path_lengths", lambda n: n <= F.length("t_path"))
     expanded = (
-        targets.select("t_host", "t_path", n_labels.alias("n_labels"), F.explode(expressions).alias("e"))
-        # A host or path shorter than the shape has no such expression; the empty host is nobody's parent.
-        .filter(F.length("e.prefix") == F.col("e.chars"))
-        .filter(F.when(F.col("e.labels") == 0, F.col("n_labels") == 0).otherwise(F.col("n_labels") >= F.col("e.labels")))
-        .select("t_host", "t_path", _digest(F.col("e.suffix"), F.col("e.prefix")).alias("digest"))
+        suffixes.join(hosts, F.col("suffix_short") == F.col("host_short"))
+        .filter(F.col("suffix_digest") == F.col("host_digest"))
+        .select("t_host", "t_path", "suffix", F.explode(reachable).alias("chars"))
+        .select("t_host", "t_path", _digest(F.col("suffix"), F.expr("substring(t_path, 1, chars)")).alias("digest"))
         .withColumn("short", F.substring("digest", 1, SHORT))
     )
     rule = F.concat("rule_host", "rule_path")

@@ -96,6 +96,25 @@ def test_url_filter(spark):
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
 
 
+def test_many_rules_of_many_path_lengths(spark):
+    """Expansions follow the hosts that a URL meets, and the plan does not grow with the rules."""
+    deep = [("busy.org", "/" + "x" * n, "block") for n in range(0, 900, 3)]
+    other = [(f"h{i}.net", "/" + "y" * (i % 500), "block") for i in range(3000)]
+    urls = [f"http://{h}/{'x' * n}" for n in range(0, 1000, 7) for h in ("a.busy.org", "busy.org", "h7.net")]
+    urls += [f"http://q.h{i}.net/{'y' * 300}" for i in range(0, 3000, 11)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rules = deep + other
+    judged = url_filter.judge_urls(pages, url_filter.rules_frame(spark, rules))
+    by_host = {}
+    for r in rules:
+        by_host.setdefault(r[0], []).append(r)
+    near = lambda u: [r for h, rs in by_host.items() if h in u for r in rs]
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in judged.select("row.page_id", "host", "path", "rule", "verdict").collect()}
+    assert got == {i: _plain_verdict(u, near(u)) for i, u in enumerate(urls)}
+    # The plan holds one array of label counts, and no expression per path length.
+    assert len(judged._jdf.queryExecution().optimizedPlan().toString()) < 30_000
+
+
 def _plain_targets(sizes, weights, share, most):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
