@@ -11,10 +11,10 @@ The label that people gave counts as one more voter, of a stated accuracy, which
 tells the model which class is which; a single wrong label need not be believed.
 
 Words are mined from all labelled texts, and the label model reads all of their
-votes. Texts move once, to meet their labels; the labelled ones are stored. What
-reaches the driver is bounded by the model: the mined entries (at most
-``max_entries`` of each kind), one count per combination of votes, and a sample
-of ``max_rows`` labelled rows for the linear classifier.
+votes. Labelled texts are stored when they have met their labels. What reaches
+the driver is the model: the entries that pass the significance test (``min_z``),
+one count per combination of votes, and a sample of ``max_rows`` labelled rows
+for the linear classifier.
 """
 
 from __future__ import annotations
@@ -53,7 +53,6 @@ FEATURES = VOTERS + WORD_FOLDS + PREFIX_FOLDS + 2
 MIN_Z = 3.0
 MIN_RATIO = 20.0
 MIN_FAMILY = 4
-MAX_ENTRIES = 5000
 MAX_ROWS = 20_000
 #: Accuracy that the label model gives to a human label.
 TRUST = 0.98
@@ -81,9 +80,7 @@ def _log_odds(t: Column, c: Column, totals: Row) -> tuple[Column, Column]:
     return odds, odds / F.sqrt(1 / (t + 0.5) + 1 / (c + 0.5))
 
 
-def mine_lexicon(
-    labelled: DataFrame, *, min_z: float = MIN_Z, min_ratio: float = MIN_RATIO, max_entries: int = MAX_ENTRIES
-) -> Lexicon:
+def mine_lexicon(labelled: DataFrame, *, min_z: float = MIN_Z, min_ratio: float = MIN_RATIO) -> Lexicon:
     """Words that mark toxic texts, and word beginnings that many of them share.
 
     ``labelled`` holds (text, toxic). A word is a candidate if the share of
@@ -91,9 +88,9 @@ def mine_lexicon(
     ``min_z`` standard errors above it. Copies of one text would make all of
     its words candidates, so a word must also do so in the number of different
     words it follows. A beginning marks toxic texts if at least ``MIN_FAMILY``
-    different words with it, and nine of ten, were found in toxic texts alone.
-    All candidates are tried; the ``max_entries`` best words that mark, and as
-    many beginnings, are the size of the model.
+    different words with it, and nine of ten, were found in toxic texts alone,
+    and these are ``min_z`` standard deviations more than such a draw from all
+    words would hold. Every word and beginning that passes is an entry.
     """
     is_toxic = F.col("toxic") == 1
     totals = labelled.agg(F.count_if(is_toxic).alias("t"), F.count_if(~is_toxic).alias("c")).first()
@@ -119,16 +116,17 @@ def mine_lexicon(
         .join(candidates, "entry", "left_semi")
         .groupBy("entry").agg(F.sum(F.col("t").cast("int")).alias("t"), F.sum(F.col("c").cast("int")).alias("c"))
     )
-    best = marking(contexts).orderBy(F.desc("z"), "entry").limit(max_entries)
-    chosen = materialize(best.select("entry"), "marking")
+    chosen = materialize(marking(contexts).select("entry"), "marking")
     beginnings = F.explode(F.array_distinct(F.array(*[F.substring("entry", 1, n) for n in PREFIX_LENGTHS])))
     only_toxic = ((F.col("t") > 0) & (F.col("c") == 0)).cast("int")
+    long_enough = words.filter(F.length("entry") >= min(PREFIX_LENGTHS))
+    usual = long_enough.agg(F.avg(only_toxic).alias("share")).first()["share"] or 0.0
+    spread = F.sqrt(F.col("n") * (usual * (1 - usual)))
     prefixes = (
-        words.filter(F.length("entry") >= min(PREFIX_LENGTHS))
-        .select(only_toxic.alias("hit"), beginnings.alias("prefix"))
+        long_enough.select(only_toxic.alias("hit"), beginnings.alias("prefix"))
         .groupBy("prefix").agg(F.sum("hit").alias("hits"), F.count("*").alias("n"))
         .filter((F.col("hits") >= MIN_FAMILY) & (10 * F.col("hits") >= 9 * F.col("n")))
-        .orderBy(F.desc("hits"), "prefix").limit(max_entries)
+        .filter(F.col("hits") - F.col("n") * usual >= min_z * spread)
         .select(F.col("prefix").alias("entry"))
     )
 
@@ -262,16 +260,15 @@ def _without_labels() -> np.ndarray:
     return w
 
 
-def score_toxicity(
-    docs: DataFrame, labels: DataFrame, *, min_z: float = MIN_Z, max_entries: int = MAX_ENTRIES, max_rows: int = MAX_ROWS
-) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, *, min_z: float = MIN_Z, max_rows: int = MAX_ROWS) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``.
 
     ``labels`` (doc_id, toxic) must hold the training labels only. All of them
     teach the lexicon and the label model; the weights of the linear classifier
     are fitted on ``max_rows`` of them, chosen by a hash of their ids. A document
-    with several labels is toxic if any says so; null labels and labels of
-    unknown documents teach nothing. If there are not two classes to learn
+    with several labels is toxic if any says so; rows that repeat a ``doc_id`` with
+    other texts all train under its label; null labels and labels of unknown
+    documents teach nothing. If there are not two classes to learn
     from, the fixed insults decide. Scores depend on the text alone; a null or
     empty text has the score of a text without any vote.
     """
@@ -280,10 +277,9 @@ def score_toxicity(
         .groupBy(F.col("doc_id").alias("gold_id")).agg(F.max("toxic").alias("toxic"))
     )
     texts = docs.select("doc_id", whole().alias("text"))
-    # One join form at every size: it builds on the labels, one row per id.
-    labelled = texts.join(gold.hint("shuffle_hash"), F.col("doc_id") == F.col("gold_id"))
+    labelled = texts.join(gold, F.col("doc_id") == F.col("gold_id"))
     labelled = materialize(labelled.select("doc_id", "text", "toxic"), "labelled")
-    lexicon = mine_lexicon(labelled, min_z=min_z, max_entries=max_entries)
+    lexicon = mine_lexicon(labelled, min_z=min_z)
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def features(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
