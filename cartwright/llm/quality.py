@@ -2,7 +2,9 @@
 
 Statistics of each text are turned into a vector. For every group of language
 and source a minimum-covariance-determinant estimate says what is usual there,
-and a text far from it by Mahalanobis distance is rejected.
+and a text far from it by Mahalanobis distance is rejected. The estimate of a
+group is drawn towards that of its language, and that of a language towards
+everyone's, the more the fewer texts it rests on.
 
 The estimate is refined by concentration steps: the half of a group closest to
 the present centre gives the next centre and covariance. A step is one pass:
@@ -33,9 +35,10 @@ WINDOW = 3
 #: so that long clean texts stay.
 COORDINATES = {"length": 1.0, "word_length": 0.05, "symbols": 0.03, "dup_lines": 0.05, "repeats": 0.12}
 DIM = len(COORDINATES)
-#: Groups with fewer rows are judged by their language, and languages with fewer by all rows.
-MIN_GROUP = 100
-STEPS = 8
+#: The language's estimate counts like this many texts of a group, and everyone's like this many of a language.
+PRIOR_TEXTS = 100
+#: Concentration ends when no determinant falls by this share, or after so many steps.
+STEPS, LEAST_FALL = 12, 0.01
 #: A text is rejected beyond this squared distance, the 0.9999 quantile of chi-square with five degrees of freedom.
 MAX_SQUARED_DISTANCE = 25.7
 #: Distance classes of a concentration step: this many per doubling of the squared distance.
@@ -100,30 +103,45 @@ def coordinates() -> list[Column]:
     ]
 
 
-def _estimates(spark_rows: DataFrame) -> DataFrame:
-    """Centre and inverse covariance, flat, from (key, n, s, ss): sums of the vectors and of their products.
+def _flat(matrix: np.ndarray) -> list[float]:
+    return matrix[np.triu_indices(DIM)].tolist()
 
-    The covariance of the inner half is scaled up to that of all points. In no direction is it less than the floors':
-    in coordinates that are measured in floors, eigenvalues below 1 count as 1, and all others as they are.
+
+def _square(flat: np.ndarray) -> np.ndarray:
+    full = np.zeros((DIM, DIM))
+    full[np.triu_indices(DIM)] = flat
+    return full + np.triu(full, 1).T
+
+
+def _floored(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Covariance with the floors as its least in any direction, its inverse, and the logarithm of its determinant.
+
+    In coordinates that are measured in floors, eigenvalues below 1 count as 1, and all others as they are.
+    """
+    floor = np.array(list(COORDINATES.values()))
+    values, axes = np.linalg.eigh(cov / np.outer(floor, floor))
+    values = np.maximum(values, 1)
+    out, back = axes * floor[:, None], axes / floor[:, None]
+    return (out * values) @ out.T, (back / values) @ back.T, float(np.log(values).sum())
+
+
+def _estimates(sums: DataFrame) -> DataFrame:
+    """Centre, covariance, inverse, determinant from (key, start, n, s, ss): sums of the vectors and of their products.
+
+    The covariance of the inner half is scaled up to that of all points.
     """
-    floor, factor = np.array(list(COORDINATES.values())), consistency()
-    upper = np.triu_indices(DIM)
+    factor = consistency()
 
-    @F.pandas_udf("centre array<double>, inverse array<double>")
-    def invert(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
-        centres, inverses = [], []
+    @F.pandas_udf("centre array<double>, covariance array<double>, inverse array<double>, determinant double")
+    def estimate(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
+        rows = []
         for count, s, ss in zip(n, sums, products):
             centre = np.asarray(s) / count
-            cov = np.zeros((DIM, DIM))
-            cov[upper] = np.asarray(ss) / count
-            cov = np.triu(cov) + np.triu(cov, 1).T - np.outer(centre, centre)
-            centres.append(centre.tolist())
-            values, axes = np.linalg.eigh(cov / factor / np.outer(floor, floor))
-            axes /= floor[:, None]
-            inverses.append(((axes / np.maximum(values, 1)) @ axes.T)[upper].tolist())
-        return pd.DataFrame({"centre": centres, "inverse": inverses})
+            cov, inverse, determinant = _floored((_square(np.asarray(ss) / count) - np.outer(centre, centre)) / factor)
+            rows.append((centre.tolist(), _flat(cov), _flat(inverse), determinant))
+        return pd.DataFrame(rows, columns=["centre", "covariance", "inverse", "determinant"])
 
-    return spark_rows.select("key", invert("n", "s", "ss").alias("e")).select("key", "e.centre", "e.inverse")
+    return sums.select("key", "start", estimate("n", "s", "ss").alias("e")).select("key", "start", "e.*")
 
 
 def _sums() -> list[Column]:
@@ -150,37 +168,89 @@ def _element_sums(name: str, size: int) -> Column:
     return F.array(*[F.sum(F.col(name)[i]) for i in range(size)]).alias(name)
 
 
+def _starts(points: DataFrame) -> DataFrame:
+    """Two first guesses per key, both about the medians: deviations of the floors, and of the quartiles."""
+    quartiles = [F.percentile_approx(f"x{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(DIM)]
+    floors = list(COORDINATES.values())
+
+    def inverse(deviations: list[Column]) -> Column:
+        zero = F.lit(0.0)
+        return F.array(*[1 / (deviations[i] * deviations[i]) if i == j else zero for i in range(DIM) for j in range(i, DIM)])
+
+    # 1.349: quartiles of a normal coordinate are so many deviations apart.
+    own = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(v)) for i, v in enumerate(floors)]
+    guesses = F.array(
+        *[F.struct(F.lit(k).alias("start"), inverse(d).alias("inverse")) for k, d in enumerate(([F.lit(v) for v in floors], own))]
+    )
+    centre = F.array(*[F.col(f"q{i}")[1] for i in range(DIM)]).alias("centre")
+    return points.groupBy("key").agg(*quartiles).select("key", centre, F.explode(guesses).alias("g")).select(
+        "key", "g.start", "centre", F.array(*[F.lit(0.0)] * (DIM * (DIM + 1) // 2)).alias("covariance"), "g.inverse",
+        F.lit(float("inf")).alias("determinant"),
+    )
+
+
 def robust_estimates(points: DataFrame, *, steps: int = STEPS) -> DataFrame:
-    """(key, centre, inverse): the covariance of the most concentrated half of each group's points.
+    """(key, centre, covariance, inverse): of the most concentrated half of each group's points.
 
-    ``points`` (key, x0, x1, ...) is read once a step. Steps start from the
-    group's medians and floor deviations. The half is cut at the upper edge of
-    a distance class, so it holds at least (n + dimensions + 1) / 2 points.
+    ``points`` (key, x0, x1, ...) is read once a step. Steps begin at two
+    guesses; each keeps the step of least determinant, and the guess that ends
+    with the least one is taken. The half is cut at the upper edge of a
+    distance class, so it holds at least (n + dimensions + 1) / 2 points.
     Floor variances are the least in any direction: a group whose vectors are
     all alike still has an inverse.
     """
-    medians = points.groupBy("key").agg(
-        F.array(*[F.percentile_approx(f"x{i}", 0.5, 1000) for i in range(DIM)]).alias("centre")
-    )
-    floors = list(COORDINATES.values())
-    identity = [1 / floors[i] ** 2 if i == j else 0.0 for i in range(DIM) for j in range(i, DIM)]
-    now = materialize(medians.withColumn("inverse", F.array(*[F.lit(v) for v in identity])), "estimates")
-    nearest = Window.partitionBy("key").orderBy("class")
+    now = materialize(_starts(points), "estimates")
+    nearest = Window.partitionBy("key", "start").orderBy("class")
     within = nearest.rowsBetween(Window.unboundedPreceding, -1)
-    for _ in range(steps):
+    for step in range(steps):
         distance_class = F.floor(F.log2(squared_distance() + 1e-6) * CLASSES)
         classes = (
             points.join(now.withColumnRenamed("key", "of"), F.col("key") == F.col("of"))
             .withColumn("class", distance_class)
-            .groupBy("key", "class").agg(*_sums())
+            .groupBy("key", "start", "class").agg(*_sums())
         )
-        half = F.floor((F.sum("n").over(Window.partitionBy("key")) + DIM + 1) / 2)
+        half = F.floor((F.sum("n").over(Window.partitionBy("key", "start")) + DIM + 1) / 2)
         inner = classes.withColumn("half", half).withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
-        kept = inner.filter("before < half").groupBy("key").agg(
+        kept = inner.filter("before < half").groupBy("key", "start").agg(
             F.sum("n").alias("n"), _element_sums("s", DIM), _element_sums("ss", DIM * (DIM + 1) // 2)
         )
-        now = materialize(_estimates(kept), "estimates")
-    return now
+        found = _estimates(kept).withColumn("step", F.lit(step))
+        both = found.unionByName(now.withColumn("step", F.lit(step - 1)))
+        best = both.groupBy("key", "start").agg(
+            F.min_by(F.struct(*[c for c in both.columns if c not in ("key", "start")]), F.struct("determinant", "step")).alias("e"),
+            (F.max("determinant") - F.min("determinant")).alias("fall"),
+        )
+        now = materialize(best.select("key", "start", "e.*", (F.col("fall") > LEAST_FALL).alias("falls")), "estimates")
+        going_on = now.filter(F.col("falls") & (F.col("step") == step)).limit(1).count()
+        now = now.drop("step", "falls")
+        if not going_on:
+            break
+    last = F.struct("centre", "covariance", "inverse")
+    least = now.groupBy("key").agg(F.min_by(last, F.struct("determinant", "start")).alias("e"))
+    return least.select("key", "e.*")
+
+
+def drawn_towards(own: DataFrame, wider: DataFrame, *, prior: int = PRIOR_TEXTS) -> DataFrame:
+    """Estimates (key, parent, n, centre, covariance, inverse) of ``own``, each blended with that of its parent in ``wider``.
+
+    An estimate on n texts weighs n / (n + ``prior``), its parent's the rest. The covariance is that of the mixture,
+    so a group far from its parent is given room in that direction while its texts are few.
+    """
+
+    @F.pandas_udf("centre array<double>, covariance array<double>, inverse array<double>")
+    def blend(n: pd.Series, centre: pd.Series, cov: pd.Series, far_centre: pd.Series, far_cov: pd.Series) -> pd.DataFrame:
+        rows = []
+        for count, c, s, fc, fs in zip(n, centre, cov, far_centre, far_cov):
+            w, c, fc = count / (count + prior), np.asarray(c), np.asarray(fc)
+            mixed = w * _square(s) + (1 - w) * _square(fs) + w * (1 - w) * np.outer(c - fc, c - fc)
+            full, inverse, _ = _floored(mixed)
+            rows.append(((w * c + (1 - w) * fc).tolist(), _flat(full), _flat(inverse)))
+        return pd.DataFrame(rows, columns=["centre", "covariance", "inverse"])
+
+    parents = wider.select(F.col("key").alias("of"), F.col("centre").alias("far_centre"), F.col("covariance").alias("far_covariance"))
+    return own.join(parents, F.col("parent") == F.col("of")).select(
+        "key", "n", blend("n", "centre", "covariance", "far_centre", "far_covariance").alias("e")
+    ).select("key", "n", "e.*")
 
 
 def consistency(share: float = 0.5) -> float:
@@ -205,15 +275,16 @@ def consistency(share: float = 0.5) -> float:
 
 
 def judge_quality(
-    docs: DataFrame, *, min_group: int = MIN_GROUP, max_squared_distance: float = MAX_SQUARED_DISTANCE
+    docs: DataFrame, *, prior: int = PRIOR_TEXTS, max_squared_distance: float = MAX_SQUARED_DISTANCE
 ) -> DataFrame:
     """The statistics, ``base_failed``, ``distance`` and ``kept`` of every document.
 
     Estimates are made from the texts that pass the base rules, per language
-    and source (nulls are values of their own). Groups with fewer than
-    ``min_group`` such texts use their language's, and those of small
-    languages everyone's. ``kept`` is false for a text that fails a base rule
-    or whose squared distance is above the limit. A null text has no words.
+    and source (nulls are values of their own), per language, and from all. A
+    group's is blended with its language's, which counts like ``prior`` texts,
+    and a language's with everyone's: the same rule at every size. ``kept`` is
+    false for a text that fails a base rule or whose squared distance is above
+    the limit. A null text has no words.
     """
     stats = materialize(
         docs.select("doc_id", "lang", "source", statistics(whole()).alias("stat")).select(
@@ -228,30 +299,22 @@ def judge_quality(
         *[c.alias(f"x{i}") for i, c in enumerate(coordinates())],
     )
     passed = points.filter(~F.col("base_failed"))
-    sizes = passed.groupBy("group_key", "lang_key").agg(F.count("*").alias("n"))
-    lang_sizes = sizes.groupBy(F.col("lang_key").alias("size_lang")).agg(F.sum("n").alias("lang_n"))
-    keys = materialize(
-        sizes.join(lang_sizes, F.col("lang_key") == F.col("size_lang")).select(
-            F.col("group_key").alias("for_group"),
-            F.when(F.col("n") >= min_group, F.col("group_key"))
-            .when(F.col("lang_n") >= min_group, F.col("lang_key"))
-            .otherwise("").alias("key"),
-        ),
-        "groups",
-    )
-    # A text is a point of its group, of its language and of all texts, so far as these estimates are used.
-    used = keys.select(F.col("key").alias("used")).distinct()
-    levels = F.explode(F.array("group_key", "lang_key", F.lit("")))
+    sizes = materialize(passed.groupBy("group_key", "lang_key").agg(F.count("*").alias("n")), "groups")
+    # A text is a point of its group, of its language and of all texts; the levels are apart even if their names are not.
+    key = lambda level, name: F.concat(F.lit(f"{level}\t"), F.col(name) if name else F.lit(""))
+    group, lang, everyone = key(2, "group_key"), key(1, "lang_key"), key(0, "")
     xs = [f"x{i}" for i in range(DIM)]
-    spread = materialize(
-        passed.select(levels.alias("key"), *xs).join(used, F.col("key") == F.col("used"), "left_semi"), "points"
-    )
-    estimates = robust_estimates(spread)
-    judged = (
-        points.join(keys, F.col("group_key") == F.col("for_group"), "left")
-        .join(estimates.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
-        .withColumn("distance", squared_distance())
-    )
+    spread = materialize(passed.select(F.explode(F.array(group, lang, everyone)).alias("key"), *xs), "points")
+    found = materialize(robust_estimates(spread), "levels")
+
+    def level(keys: DataFrame) -> DataFrame:
+        return keys.join(found.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).drop("of")
+
+    langs = level(sizes.groupBy(lang.alias("key"), everyone.alias("parent")).agg(F.sum("n").alias("n")))
+    langs = drawn_towards(langs, found, prior=prior)
+    groups = drawn_towards(level(sizes.select(group.alias("key"), lang.alias("parent"), "n")), langs, prior=prior)
+    groups = materialize(groups.select(F.col("key").alias("of"), "centre", "inverse"), "estimates")
+    judged = points.join(groups, group == F.col("of"), "left").withColumn("distance", squared_distance())
     usual = F.coalesce(F.col("distance") <= max_squared_distance, F.lit(True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
