@@ -299,20 +299,22 @@ def judge_quality(
         *[c.alias(f"x{i}") for i, c in enumerate(coordinates())],
     )
     passed = points.filter(~F.col("base_failed"))
-    sizes = materialize(passed.groupBy("group_key", "lang_key").agg(F.count("*").alias("n")), "groups")
     # A text is a point of its group, of its language and of all texts; the levels are apart even if their names are not.
     key = lambda level, name: F.concat(F.lit(f"{level}\t"), F.col(name) if name else F.lit(""))
     group, lang, everyone = key(2, "group_key"), key(1, "lang_key"), key(0, "")
     xs = [f"x{i}" for i in range(DIM)]
+    # Stored with its keys, so that the one key of all texts is a column to join on and no constant.
+    sizes = passed.groupBy(group.alias("group"), lang.alias("lang"), everyone.alias("everyone")).agg(F.count("*").alias("n"))
+    sizes = materialize(sizes, "groups")
     spread = materialize(passed.select(F.explode(F.array(group, lang, everyone)).alias("key"), *xs), "points")
     found = materialize(robust_estimates(spread), "levels")
 
     def level(keys: DataFrame) -> DataFrame:
         return keys.join(found.withColumnRenamed("key", "of"), F.col("key") == F.col("of")).drop("of")
 
-    langs = level(sizes.groupBy(lang.alias("key"), everyone.alias("parent")).agg(F.sum("n").alias("n")))
+    langs = level(sizes.groupBy(F.col("lang").alias("key"), F.col("everyone").alias("parent")).agg(F.sum("n").alias("n")))
     langs = drawn_towards(langs, found, prior=prior)
-    groups = drawn_towards(level(sizes.select(group.alias("key"), lang.alias("parent"), "n")), langs, prior=prior)
+    groups = drawn_towards(level(sizes.select(F.col("group").alias("key"), F.col("lang").alias("parent"), "n")), langs, prior=prior)
     groups = materialize(groups.select(F.col("key").alias("of"), "centre", "inverse"), "estimates")
     judged = points.join(groups, group == F.col("of"), "left").withColumn("distance", squared_distance())
     usual = F.coalesce(F.col("distance") <= max_squared_distance, F.lit(True))
