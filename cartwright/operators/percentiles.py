@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwright.operators.ranking import PART, POS, ranged_copy
 
 
 def distributed_percentiles(
-    df: DataFrame, group: str, value: str, wanted: dict[str, float]
+    df: DataFrame,
+    group: str,
+    value: str,
+    wanted: dict[str, float],
+    sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Percentiles of groups that may hold any number of distinct values.
 
@@ -17,11 +21,15 @@ def distributed_percentiles(
     of (group, value). The row counts of the partitions tell which of them hold
     the two ranks around each percentile, and only those are searched, so no
     task ever holds more of a group than one partition.
+
+    ``sums`` are further columns to add up per group, over rows without a value
+    as well; they ride on the value counts, so ``df`` is read once for both. A
+    group without any value has no row.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(F.col(group).alias("__g"), F.col(value).alias("__v"))
-        .agg(F.count("*").alias("__n"))
+    sums = sums or {}
+    # A NULL value counts no row, so no rank falls on it.
+    counts = df.groupBy(F.col(group).alias("__g"), F.col(value).alias("__v")).agg(
+        F.count(value).alias("__n"), *[F.sum(c).alias(name) for name, c in sums.items()]
     )
     ranged = ranged_copy(counts, ["__g", "__v"])
     earlier = Window.partitionBy("__g").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -62,8 +70,11 @@ def distributed_percentiles(
         for end in ("__lo", "__hi")
     ]
     picked = found.groupBy("__g").agg(F.max("__total").alias("__total"), *picks)
-    result = [F.col("__g").alias(group)]
+    result = [F.col("__g").alias(group), *sums]
     for name, place in places.items():
         low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
         result.append((low + (high - low) * (place - F.floor(place))).alias(name))
+    if sums:
+        added = ranged.groupBy(F.col("__g").alias("__of")).agg(*[F.sum(c).alias(c) for c in sums])
+        picked = picked.join(added, F.col("__g").eqNullSafe(F.col("__of")))
     return picked.select(*result)

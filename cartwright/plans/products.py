@@ -113,11 +113,33 @@ def pareto_top(
     orders: DataFrame,
     n: int = 10,
 ) -> DataFrame:
-    """The ``n`` products with the most revenue and their running share."""
-    sales = product_sales(products, categories, items, orders)
+    """The ``n`` products with the most revenue and their running share.
+
+    No product beyond the report is numbered. A product's running sum is that
+    of the revenue levels down to its own, and ``n`` products stand on the
+    ``n`` highest levels at most; a level counts all products that tie on it,
+    those that the report leaves out as well.
+    """
+    sales = materialize(product_sales(products, categories, items, orders), "product-sales")
+    highest = F.col("total_revenue").desc_nulls_first()
+    top = sales.orderBy(highest, "product_id").limit(n)
+    levels = (
+        sales.groupBy("total_revenue")
+        .agg(F.sum("total_revenue").alias("__level"))
+        .orderBy(highest)
+        .limit(n)
+    )
+    # A window over the n level rows, not over products.
+    down_to = Window.orderBy(highest).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shares = levels.select(
+        F.col("total_revenue").alias("__revenue"),
+        F.sum("__level").over(down_to).alias("cumulative_revenue"),
+    )
+    overall = sales.agg(F.sum("total_revenue")).scalar()
     return (
-        _with_running_share(sales)
-        .orderBy(F.col("total_revenue").desc_nulls_first(), "product_id")
+        top.join(shares, F.col("total_revenue").eqNullSafe(F.col("__revenue")))
+        .withColumn("cumulative_revenue_pct", pct(F.col("cumulative_revenue"), overall))
+        .orderBy(highest, "product_id")
         .select(
             "product_id",
             "product_name",
@@ -128,7 +150,6 @@ def pareto_top(
             "cumulative_revenue",
             "cumulative_revenue_pct",
         )
-        .limit(n)
     )
 
 

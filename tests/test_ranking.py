@@ -123,3 +123,14 @@ def test_no_rows_in_one_partition(spark):
     df = _rows(spark, 300, 3)
     out = grouped_running_sum(df, "a", ["id"], "id", "upto")
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_percentiles_with_sums(spark):
+    """Sums cover rows without a value; a group without any value has no row."""
+    df = _rows(spark, 700, 10).withColumn("b", F.col("b").cast("double"))
+    lone = spark.range(3).select("id", F.lit(999).alias("a"), F.lit(None).cast("double").alias("b"))
+    both = df.unionByName(lone)
+    out = distributed_percentiles(both, "a", "b", {"p0": 0.0, "p100": 1.0}, {"ids": F.col("id")})
+    plain = df.groupBy("a").agg(F.min("b").alias("p0"), F.max("b").alias("p100"), F.sum("id").alias("ids"))
+    columns = ["a", "p0", "p100", "ids"]
+    _same(out.select(columns), plain.select(columns))

@@ -230,3 +230,25 @@ def test_search_takes_wildcards_literally(spark):
     )
     assert [r[0] for r in products.catalog_search(goods, "100%").collect()] == [1]
     assert [r[0] for r in products.catalog_search(goods, "n_t").collect()] == [1]
+
+
+def test_pareto_top_counts_ties_that_it_leaves_out(spark):
+    """Five products tie on the second place; two of them are shown, all five are summed."""
+    one = datetime.datetime(2024, 1, 1)
+    revenue = {1: "50.00", **{p: "10.00" for p in range(2, 7)}, 7: "1.00"}
+    categories = spark.createDataFrame([(1, "c")], "category_id int, category_name string")
+    products_ = spark.createDataFrame(
+        [(p, 1, f"p{p}", f"s{p}", 5) for p in revenue],
+        "product_id int, category_id int, product_name string, sku string, stock_quantity int",
+    )
+    orders = spark.createDataFrame(
+        [(1, "delivered", one)], "order_id int, order_status string, order_date timestamp"
+    )
+    items = spark.createDataFrame(
+        [(1, p, 1, Decimal(r), Decimal("0.50")) for p, r in revenue.items()],
+        "order_id int, product_id int, quantity int, total_price decimal(12,2), cost_price decimal(10,2)",
+    )
+    shown = products.pareto_top(products_, categories, items, orders, n=3).collect()
+    assert [(r.product_id, r.cumulative_revenue) for r in shown] == [
+        (1, Decimal("50.00")), (2, Decimal("100.00")), (3, Decimal("100.00")),
+    ]
