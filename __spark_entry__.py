@@ -23,6 +23,7 @@ from cartwright.sources import (
     StarTables,
     load_csv,
     load_generated_column,
+    write_bucketed,
     write_csv,
     write_orders_by_customer,
     write_orders_by_status,
@@ -58,6 +59,7 @@ TIMELINE_SINCE = datetime.datetime(1997, 1, 1)
 # Order lines and orders reach the streams in slices up to these dates.
 # Orders for which LATE holds reach order-independent streams after all others.
 LATE = "order_id % 50 = 7"
+BUCKETS = 16
 # Units added to every product so that all sales together can be served.
 RESTOCK = 10_000_000
 SLICE_ENDS = [datetime.datetime(1997, 1, 1), datetime.datetime(1999, 1, 1), None]
@@ -311,6 +313,31 @@ def _orders_by_customer(t: StarTables) -> DataFrame:
     return logistics.customer_timeline(stored, TIMELINE_CUSTOMER, TIMELINE_SINCE)
 
 
+def _monthly_kpis_by_buckets(t: StarTables) -> DataFrame:
+    """Orders and lines in equal buckets by order: they meet without a shuffle."""
+    stored = [
+        write_bucketed(table, "order_id", BUCKETS, fresh_path(t.spark, "by-order"))
+        for table in (t.orders(), t.order_items())
+    ]
+    return finance.monthly_kpis(*stored)
+
+
+def _customer_timeline_by_buckets(t: StarTables) -> DataFrame:
+    """Orders in buckets by customer: one bucket is read."""
+    path = fresh_path(t.spark, "by-customer")
+    stored = write_bucketed(t.orders(), "customer_id", BUCKETS, path, order=["order_date", "order_id"])
+    return logistics.customer_timeline(stored, TIMELINE_CUSTOMER, TIMELINE_SINCE)
+
+
+def _delivery_sketches(t: StarTables) -> DataFrame:
+    """Sketches of all deliveries, some of them added late, against the true ranks."""
+    root = fresh_path(t.spark, "delivery-sketches")
+    orders = t.orders(with_state=True)
+    logistics.add_deliveries(t.spark, orders.filter(f"NOT ({LATE})"), root)
+    logistics.add_deliveries(t.spark, orders.filter(LATE), root)
+    return logistics.delivery_percentile_misses(orders, logistics.delivery_percentiles(t.spark, root))
+
+
 # -------------------------------------------------------------------- mart
 
 
@@ -638,6 +665,9 @@ PLANS: dict[str, Callable[[StarTables], DataFrame]] = {
         t.orders(), TIMELINE_CUSTOMER, TIMELINE_SINCE
     ),
     "customer_timeline_by_layout": _orders_by_customer,
+    "customer_timeline_by_buckets": _customer_timeline_by_buckets,
+    "monthly_kpis_by_buckets": _monthly_kpis_by_buckets,
+    "delivery_percentile_sketches": _delivery_sketches,
     "order_details": _order_details,
     "payment_method_health": lambda t: payments.payment_method_health(t.payments()),
     "payment_method_health_report": lambda t: R.print_payment_health(

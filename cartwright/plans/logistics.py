@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwright.functions import amount, cents, interval_micros, moment, pct, pct_of_cents, ratio
+from cartwright.functions import amount, cents, interval_micros, moment, month_start, pct, pct_of_cents, ratio
 from cartwright.functions import labels as L
 from cartwright.functions.dates import MICROS_PER_DAY
+from cartwright.operators import sketches
 from cartwright.operators.percentiles import distributed_percentiles
+from cartwright.runtime import materialize, temporary_tables
+from cartwright.sources.published import PublishedTable
 
 _PERCENTILES = {
     "fastest_delivery_days": 0.0,
@@ -74,6 +77,60 @@ def delivery_sla_national(orders: DataFrame, sla_days: float = 4) -> DataFrame:
     return _sla(everywhere, "region", sla_days)
 
 
+# Percentiles that a stored sketch answers.
+SKETCHED = {"median_delivery_days": 0.50, "p90_delivery_days": 0.90}
+
+
+def delivery_sketches(orders: DataFrame, size: int = sketches.SIZE) -> DataFrame:
+    """One sketch of delivery times per state and month of the order."""
+    known = _deliveries(orders).withColumn("order_month", month_start(F.col("order_date")))
+    return sketches.sketch_values(known, ["shipping_state", "order_month"], "transit_days", size)
+
+
+def add_deliveries(spark: SparkSession, new_orders: DataFrame, root: str, size: int = sketches.SIZE) -> int:
+    """Merge orders that have been delivered since into the sketches published at ``root``.
+
+    Each delivery must be added once. Only the sketches of the months that the
+    new orders belong to are read and replaced; no order that was added before
+    is read again. Returns the version that readers see from now on.
+    """
+    table = PublishedTable(spark, root, "order_month")
+    base = table.manifest()
+    with temporary_tables(spark):
+        new = materialize(delivery_sketches(new_orders, size), "delivery-sketches")
+        # Months, which are bounded by the calendar.
+        months = [row[0] for row in new.select("order_month").distinct().collect()]
+        if base is not None:
+            new = new.unionByName(table.scan(base, parts=months))
+        merged = sketches.merge_sketches(new, ["shipping_state", "order_month"], size)
+        return table.replace_parts(merged, months, base=base)
+
+
+def delivery_percentiles(
+    spark: SparkSession, root: str, since: datetime.date | None = None, until: datetime.date | None = None
+) -> DataFrame:
+    """Deliveries and delivery-time percentiles per state from the published sketches.
+
+    ``since`` and ``until`` bound the months, both included. The true ranks are
+    within ``sketches.rank_error`` of the stated ones.
+    """
+    stored = PublishedTable(spark, root, "order_month").read()
+    if since is not None:
+        stored = stored.filter(F.col("order_month") >= F.lit(since))
+    if until is not None:
+        stored = stored.filter(F.col("order_month") <= F.lit(until))
+    return sketches.read_percentiles(sketches.merge_sketches(stored, ["shipping_state"]), SKETCHED)
+
+
+def delivery_percentile_misses(orders: DataFrame, percentiles: DataFrame) -> DataFrame:
+    """Deliveries per state and whether each sketched percentile keeps the stated error."""
+    misses = sketches.rank_misses(
+        _deliveries(orders), "shipping_state", "transit_days", percentiles, SKETCHED
+    )
+    kept = [(F.col(name) <= sketches.rank_error()).alias(f"{name}_kept") for name in SKETCHED]
+    return misses.select("shipping_state", F.col("rows").alias("total_deliveries"), *kept)
+
+
 def order_status_pipeline(orders: DataFrame) -> DataFrame:
     """Orders and value per status; the share is taken over the status rows."""
     everything = F.sum("order_count").over(Window.partitionBy())

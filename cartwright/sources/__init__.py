@@ -1,5 +1,5 @@
 from cartwright.sources.csv_files import load_csv, load_generated_column, write_csv
-from cartwright.sources.layouts import write_orders_by_customer, write_orders_by_status
+from cartwright.sources.layouts import UnevenBuckets, write_bucketed, write_orders_by_customer, write_orders_by_status
 from cartwright.sources.schemas import DEFAULTS, SCHEMAS
 from cartwright.sources.star_tables import StarTables
 
@@ -7,8 +7,10 @@ __all__ = [
     "DEFAULTS",
     "SCHEMAS",
     "StarTables",
+    "UnevenBuckets",
     "load_csv",
     "load_generated_column",
+    "write_bucketed",
     "write_csv",
     "write_orders_by_customer",
     "write_orders_by_status",
