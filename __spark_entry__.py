@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from cartwright.functions import labels as L
 from cartwright.functions import money
@@ -546,11 +547,15 @@ def _apply_sales_refused(t: StarTables) -> DataFrame:
 # --------------------------------------------------------------- streaming
 
 
-def _slices(df: DataFrame, when: str, label: str, late: str = "false") -> DataFrame:
-    """File stream over the whole table: one micro-batch or more for each slice of time.
+def _stream_slices(
+    df: DataFrame, when: str, label: str, start: Callable[[DataFrame], StreamingQuery], late: str = "false"
+) -> None:
+    """File stream over the whole table: one micro-batch for each slice of time, however many files hold it.
 
-    Rows without a time come first; rows that ``late`` holds for come last,
-    whatever their time.
+    A slice arrives, ``start`` starts the query on the stream, and the query
+    goes on from its checkpoint until it has taken the slice. Rows without a
+    time come first; rows that ``late`` holds for come last, whatever their
+    time.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
@@ -560,41 +565,41 @@ def _slices(df: DataFrame, when: str, label: str, late: str = "false") -> DataFr
         slice_no = slice_no.when(F.col(when).isNull() | ends, number)
     for number in range(len(SLICE_ENDS) + (late != "false")):
         df.filter(slice_no == number).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        start(spark.readStream.schema(df.schema).parquet(path)).awaitTermination()
 
 
 def _inventory_stream(t: StarTables) -> DataFrame:
     sink = fresh_path(t.spark, "ledger")
     lines = t.order_items().select(inventory.line_columns(LINE_ARRIVAL))
-    query = inventory_stream(
-        _slices(lines, "created_at", "lines"),
-        t.products(),
-        sink,
-        f"{sink}-checkpoint",
-        arrival=LINE_ARRIVAL,
-        unique=False,
-    )
-    query.awaitTermination()
+
+    def start(arriving: DataFrame) -> StreamingQuery:
+        return inventory_stream(
+            arriving, t.products(), sink, f"{sink}-checkpoint", arrival=LINE_ARRIVAL, unique=False
+        )
+
+    _stream_slices(lines, "created_at", "lines", start)
     return t.spark.read.parquet(f"{sink}/ledger").drop("batch")
 
 
 def _stock_levels_stream(t: StarTables) -> DataFrame:
     sink = fresh_path(t.spark, "stock")
     columns = t.order_items().select("order_id", "product_id", "quantity", "created_at")
-    lines = _slices(columns, "created_at", "lines", late=LATE)
-    query = (
-        stock_levels(lines, t.products())
-        .writeStream.outputMode("update")
-        .foreachBatch(
-            lambda batch, number: batch.withColumn("batch_no", F.lit(number).cast("bigint"))
-            .write.mode("overwrite")
-            .parquet(f"{sink}/batch={number}")
+
+    def start(lines: DataFrame) -> StreamingQuery:
+        return (
+            stock_levels(lines, t.products())
+            .writeStream.outputMode("update")
+            .foreachBatch(
+                lambda batch, number: batch.withColumn("batch_no", F.lit(number).cast("bigint"))
+                .write.mode("overwrite")
+                .parquet(f"{sink}/batch={number}")
+            )
+            .option("checkpointLocation", f"{sink}-checkpoint")
+            .trigger(availableNow=True)
+            .start()
         )
-        .option("checkpointLocation", f"{sink}-checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+    _stream_slices(columns, "created_at", "lines", start, late=LATE)
     updates = t.spark.read.parquet(sink)
     newest = updates.groupBy("product_id").agg(
         F.max_by(F.struct("units_sold", "stock_left", "oversold"), "batch_no").alias("s")
@@ -604,20 +609,22 @@ def _stock_levels_stream(t: StarTables) -> DataFrame:
 
 def _monthly_stream(t: StarTables) -> DataFrame:
     root = fresh_path(t.spark, "monthly")
-    query = monthly_stream(
-        _slices(t.orders(), "order_date", "orders", late=LATE), root, f"{root}-checkpoint"
-    )
-    query.awaitTermination()
+
+    def start(orders: DataFrame) -> StreamingQuery:
+        return monthly_stream(orders, root, f"{root}-checkpoint")
+
+    _stream_slices(t.orders(), "order_date", "orders", start, late=LATE)
     return mart.read_mart(t.spark, root)
 
 
 def _monthly_buyers_stream(t: StarTables) -> DataFrame:
     """Distinct buyers too; every fiftieth order comes after all others, whatever its month."""
     root = fresh_path(t.spark, "monthly-buyers")
-    query = monthly_buyers_stream(
-        _slices(t.orders(), "order_date", "orders", late=LATE), root, f"{root}-checkpoint"
-    )
-    query.awaitTermination()
+
+    def start(orders: DataFrame) -> StreamingQuery:
+        return monthly_buyers_stream(orders, root, f"{root}-checkpoint")
+
+    _stream_slices(t.orders(), "order_date", "orders", start, late=LATE)
     return read_monthly_buyers(t.spark, root)
 
 

@@ -163,3 +163,21 @@ def test_hot_order_is_split_between_tasks(spark):
 
 def test_schemas_cover_the_canonical_tables():
     assert len(SCHEMAS) == 7
+
+
+def test_one_micro_batch_for_each_slice(spark):
+    """However many files a slice has, the stream takes it as one batch and goes on from its checkpoint."""
+    import __spark_entry__ as entry
+
+    sink = fresh_path(spark, "sink")
+    days = F.array(*[F.to_timestamp_ntz(F.lit(d)) for d in ("1996-05-01", "1998-05-01", "2000-05-01")])
+    rows = spark.range(0, 120, 1, 6).select("id", F.get(days, (F.col("id") % 4).cast("int")).alias("at"))
+
+    def start(arriving):
+        query = arriving.writeStream.foreachBatch(lambda b, n: b.write.parquet(f"{sink}/batch={n}"))
+        return query.option("checkpointLocation", f"{sink}-cp").trigger(availableNow=True).start()
+
+    entry._stream_slices(rows, "at", "slices", start, late="id = 3")
+    got = {(r.id, r.batch) for r in spark.read.parquet(sink).collect()}
+    # Rows without a time come first, late ones last.
+    assert got == {(i, 3 if i == 3 else (0, 1, 2, 0)[i % 4]) for i in range(120)}
