@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwright.operators import inventory
-from cartwright.plans import mart, products
+from cartwright.plans import logistics, mart, products
 from cartwright.runtime import fresh_path
 from cartwright.sources.schemas import SCHEMAS
 from cartwright.streaming import inventory as streamed
@@ -181,3 +181,11 @@ def test_one_micro_batch_for_each_slice(spark):
     got = {(r.id, r.batch) for r in spark.read.parquet(sink).collect()}
     # Rows without a time come first, late ones last.
     assert got == {(i, 3 if i == 3 else (0, 1, 2, 0)[i % 4]) for i in range(120)}
+
+
+def test_order_details_shuffles_lines_before_they_are_wide(spark):
+    t = clean_tables(spark)
+    details = logistics.order_details(t["orders"], t["customers"], t["order_items"], t["products"], t["categories"])
+    plan = details._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert "order_id" in joins[0] and "product_id" in joins[1]
