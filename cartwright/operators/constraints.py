@@ -14,10 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import labels as L
+from cartwright.runtime import materialize
 from cartwright.sources import schemas as S
 
 REASONS = "reject_reasons"
 
+# From so many repeated keys on they are joined by hash tables of one partition
+# each; below, Spark knows their size and broadcasts them if it is small.
+MANY_REPEATED = 1_000_000
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -78,10 +83,12 @@ def flag_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     Row rules are evaluated in place. Each key or reference rule adds one join
     against a table with one row per key, in which Spark splits the partitions
-    of a hot key.
+    of a hot key. The repeated keys of a key rule are found and stored right
+    away: where they are few, which is usual, no row is shuffled for the join.
     """
     flagged = df
     reasons: list[Column] = []
+    broken = F.lit(False)
     helpers: list[str] = []
     for number, rule in enumerate(rules):
         mark = f"__mark{number}"
@@ -100,7 +107,10 @@ def flag_violations(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         else:
             violated = ~rule.holds
         reasons.append(F.when(violated, F.lit(rule.name)))
-    return flagged.withColumn(REASONS, F.array_compact(F.array(*reasons))).drop(*helpers)
+        broken = broken | violated
+    # The list is made for the few rows that have one.
+    found = F.when(broken, F.array_compact(F.array(*reasons)))
+    return flagged.withColumn(REASONS, F.coalesce(found, F.array().cast("array<string>"))).drop(*helpers)
 
 
 def _mark_duplicates(flagged: DataFrame, source: DataFrame, rule: Unique, mark: str) -> DataFrame:
@@ -112,6 +122,9 @@ def _mark_duplicates(flagged: DataFrame, source: DataFrame, rule: Unique, mark:
         .agg(F.count("*").alias(mark))
         .filter(F.col(mark) > 1)
     )
+    repeated = materialize(repeated, "repeated-keys")
+    if repeated.count() >= MANY_REPEATED:
+        repeated = repeated.hint("shuffle_hash")
     same = [F.col(c) == F.col(k) for c, k in zip(rule.columns, keys)]
     return flagged.join(repeated, same, "left").drop(*keys)
 

@@ -75,7 +75,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def _as_text(field: T.StructField):
     column = F.col(field.name)
-    if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+    if isinstance(field.dataType, T.DecimalType) and field.dataType.scale == 2:
+        text = column.cast("string")
+    elif isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
         text = F.round(column, 2).cast("decimal(38,2)").cast("string")
     elif isinstance(field.dataType, T.BooleanType):
         text = F.upper(column.cast("string"))

@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from cartwright.functions import labels as L
 from cartwright.operators import constraints as C
@@ -133,6 +134,14 @@ def test_enforce_collects_every_reason(spark):
     assert valid.columns == SCHEMAS["orders"].names
 
 
+def test_few_repeated_keys_cost_no_shuffle_of_the_rows(spark):
+    key = F.when(F.col("id") < 2, 7).otherwise(F.col("id"))
+    flagged = C.flag_violations(spark.range(0, 2_000_000).select(key.alias("key"), "id"), [C.Unique(("key",))])
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted(r.id for r in flagged.filter(F.size(C.REASONS) > 0).collect()) == [0, 1, 7]
+
+
 def test_a_table_may_refer_to_itself(spark):
     rows = frame(
         spark,
