@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.llm.text import packed, whole
+from cartwright.runtime import small_batches
 
 DIMENSIONS = 1024
 GRAM = 3
@@ -27,7 +28,7 @@ SEED = 7
 UNDETERMINED = "und"
 #: Letters are dealt to this many vectors by code point; those of one alphabet do not collide.
 SLOTS = 509
-#: Vectors of this many n-grams are kept by a worker; others are bound each time.
+#: Vectors of this many n-grams are kept by a worker, others are bound each time; training binds the n-grams of a language when it has counted so many.
 KEPT_GRAMS = 1 << 15
 _CHUNK = 1 << 8
 
@@ -37,7 +38,7 @@ def _slot_of_code_point() -> np.ndarray:
     """0 for anything but a letter, else the number of its vector."""
     points = np.arange(0x110000)
     letters = np.fromiter((chr(c).isalpha() for c in points), bool, len(points))
-    return np.where(letters, points % SLOTS + 1, 0).astype(np.int64)
+    return np.where(letters, points % SLOTS + 1, 0).astype(np.int16)
 
 
 class Encoder:
@@ -109,22 +110,32 @@ def held_out(doc_id: Column, modulus: int = 4, remainder: int = 2) -> Column:
 def train_prototypes(docs: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[str, list[float]]:
     """The prototype of every non-null ``lang`` of ``docs``.
 
-    Each task counts n-grams per language and sends one bundle for each; the
-    driver receives ``dimensions`` sums per language. Texts without a letter
+    Each task counts n-grams per language, batch after batch, and sends one
+    bundle for each; the driver receives ``dimensions`` sums per language. Texts without a letter
     teach nothing.
     """
 
     def bundles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, sums = Encoder(dimensions), {}
+        encoder, sums, counted = Encoder(dimensions), {}, {}
+
+        def bind(lang: str) -> None:
+            codes, counts = counted.pop(lang)
+            for i in range(0, len(codes), _CHUNK):
+                sums[lang] += counts[i : i + _CHUNK] @ encoder._bind(codes[i : i + _CHUNK]).astype(np.int64)
+
         for batch in batches:
             for lang, texts in batch.groupby("lang").text:
+                sums.setdefault(lang, np.zeros(dimensions, np.int64))
                 found = [encoder.grams(t) for t in texts]
+                found += [counted[lang]] if lang in counted else []
                 codes, inverse = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
                 counts = np.zeros(len(codes), np.int64)
                 np.add.at(counts, inverse, np.concatenate([n for _, n in found]))
-                total = sums.setdefault(lang, np.zeros(dimensions, np.int64))
-                for i in range(0, len(codes), _CHUNK):
-                    total += counts[i : i + _CHUNK] @ encoder._bind(codes[i : i + _CHUNK]).astype(np.int64)
+                counted[lang] = codes, counts
+                if len(codes) > KEPT_GRAMS:
+                    bind(lang)
+        for lang in list(counted):
+            bind(lang)
         if sums:
             yield pd.DataFrame({"lang": list(sums), "bundle": [s.tolist() for s in sums.values()]})
 
@@ -136,7 +147,9 @@ def train_prototypes(docs: DataFrame, *, dimensions: int = DIMENSIONS) -> dict[s
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("bundle"))
         .select("lang", F.col("bundle.x").alias("bundle"))
     )
-    return {r["lang"]: [float(x) for x in r["bundle"]] for r in sums.collect() if any(r["bundle"])}
+    with small_batches(docs.sparkSession):
+        rows = sums.collect()
+    return {r["lang"]: [float(x) for x in r["bundle"]] for r in rows if any(r["bundle"])}
 
 
 def identify(docs: DataFrame, prototypes: dict[str, list[float]], *, dimensions: int = DIMENSIONS) -> DataFrame:

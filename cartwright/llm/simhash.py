@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from cartwright.llm.graph import connected_components
 from cartwright.llm.text import whole
-from cartwright.runtime import materialize
+from cartwright.runtime import materialize, small_batches
 
 #: Hash seed of the shingles; a fixed value of the fingerprint format.
 SHINGLE_SEED = 42
@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, pair_cell: int = PAIR_
     fingerprint and component. A row whose id is null gets its fingerprint and
     a null component.
     """
-    found = materialize(fingerprints(docs, shingle=shingle), "fingerprints")
+    with small_batches(docs.sparkSession):
+        found = materialize(fingerprints(docs, shingle=shingle), "fingerprints")
     reps = materialize(
         found.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints"
     )

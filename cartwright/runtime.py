@@ -15,6 +15,9 @@ from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Most bytes of rows that a Python worker gets at once inside ``small_batches``; a larger row goes alone.
+BATCH_BYTES = 1 << 20
+
 #: Paths of the tables made inside each open ``temporary_tables``.
 _temporary: list[list[str]] = []
 
@@ -56,6 +59,22 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that are run inside hand texts to Python in batches of ``BATCH_BYTES``.
+
+    Spark's own limit lets a task's share of a table be one batch: executor,
+    worker and pandas then hold it once each, for every core.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 

@@ -5,11 +5,13 @@ import math
 import pathlib
 
 import corpus_pipeline as P
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from cartwright.llm import language
+from cartwright import runtime
+from cartwright.llm import language, packing, simhash
 from cartwright.llm.queries import QUERIES
-from cartwright.runtime import work_dir
+from cartwright.runtime import materialize, work_dir
 from test_lines_urls_mixing import _plain_dedup, _plain_targets
 from test_near_duplicates import components, plain_fingerprint
 
@@ -158,3 +160,47 @@ def test_a_run_leaves_its_result_only(spark):
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
     (left,) = set(folder.iterdir()) - before
     assert left.name.startswith("pipeline-best_fit_packing-")
+
+
+def _largest_batch(spark):
+    """Bytes of the largest batch that Python gets of one task's 12 MB of texts."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    texts = spark.range(0, 6000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    return texts.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+
+
+def test_texts_reach_python_in_small_batches(spark, documents, monkeypatch):
+    """Whatever a task's share of a table: the worker, its executor and pandas never hold it whole."""
+    seen, usual = {}, _largest_batch(spark)
+
+    def watched(df, label):
+        seen[label] = _largest_batch(spark)
+        return materialize(df, label)
+
+    for module in (P, simhash, packing):
+        monkeypatch.setattr(module, "materialize", watched)
+    docs = documents([f"some words of text number {i}" for i in range(20)])
+    for stage in (P.keep_known_languages, P.keep_one_of_near_copies, P.pack_sequences):
+        assert stage(spark, docs, SF).count() > 0
+    assert max(seen[label] for label in ("identified", "fingerprints", "pieces")) < 1.1 * runtime.BATCH_BYTES
+    assert _largest_batch(spark) == usual > 4 * runtime.BATCH_BYTES
+
+
+def test_prototypes_add_up_over_batches(spark, monkeypatch):
+    """Few n-grams counted at a time, few texts in a batch, texts without a letter: the same prototypes."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(docs.limit(3).select("doc_id", F.lit("12 3"), F.lit("none"))).coalesce(1)
+    want = language.train_prototypes(docs)
+    encoder, sums = language.Encoder(), {}
+    for r in docs.filter("lang IS NOT NULL").collect():
+        codes, counts = encoder.grams(r.text or "")
+        if len(codes):
+            sums[r.lang] = sums.get(r.lang, 0) + encoder.bundle(codes, counts)
+    assert want == {lang: total.tolist() for lang, total in sums.items()}
+    monkeypatch.setattr(runtime, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(language, "KEPT_GRAMS", 2000)
+    assert language.train_prototypes(docs) == want
